@@ -8,6 +8,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterator
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -139,7 +140,7 @@ class WordIds:
         if new:
             got = self.encode(new)
             lengths = np.fromiter(map(len, got), np.int64, len(got))
-            flat = np.fromiter((i for x in got for i in x), np.uint32, int(lengths.sum()))
+            flat = np.fromiter(chain.from_iterable(got), np.uint32, int(lengths.sum()))
             self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
             self.lengths = np.concatenate([self.lengths, lengths])
             self.ids = np.concatenate([self.ids, flat])

@@ -10,9 +10,12 @@ not padded, so that no sequence needs any padding.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -22,15 +25,76 @@ from fernlink.llm import common
 _ENCODERS: dict[str, common.WordIds] = {}
 
 
-def word_encoder(path: str) -> common.WordIds:
-    """Encoder of words for a tokenizer whose pre-tokens never hold white space."""
-    if path not in _ENCODERS:
+def _byte_of_char() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for: printable ones themselves, the rest from U+0100."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in own]
+    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+class FastWords:
+    """The ids of words, as the tokenizer file gives them, from merges over bytes.
+
+    A byte 0xFF, which UTF-8 never has, stands for the word end; it joins the last
+    byte before any merge. Words with characters beyond U+024F go to the tokenizer
+    itself, so Unicode normalisation is never imitated.
+    """
+
+    PLAIN = re.compile("[\x21-\x7e\xa1-\u012f\u0131-\u024f]+")
+    #: The split pattern of the vocabulary file.
+    SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+    def __init__(self, path: str, limit: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import regex
+        import tiktoken
         from tokenizers import Tokenizer
 
-        t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True  # their strings in a text are ordinary text
-        _ENCODERS[path] = common.WordIds(lambda words: [e.ids for e in t.encode_batch_fast(words, add_special_tokens=False)])
+        self.whole = Tokenizer.from_file(path)
+        self.whole.encode_special_tokens = True  # their strings in a text are ordinary text
+        model = json.loads(Path(path).read_text())["model"]
+        to_byte = _byte_of_char()
+        as_bytes = lambda t: bytes(to_byte[c] for c in t.removesuffix("</w>")) + b"\xff" * t.endswith("</w>")
+        merged = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        ranks = {bytes([b]): b for b in range(256)} | {bytes([b, 255]): 256 + b for b in range(255)}
+        for a, b in merged:
+            ranks.setdefault(as_bytes(a) + as_bytes(b), 256 + 255 + len(ranks))
+        ids = {as_bytes(t): i for t, i in model["vocab"].items() if set(t.removesuffix("</w>")) <= to_byte.keys()}
+        self.id_of = {r: ids[t] for t, r in ranks.items() if t in ids}
+        self.bpe = tiktoken.Encoding("merges", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe
+        self.split = regex.compile(self.SPLIT)
+        self.limit = limit
+        self.parts: dict[str, list[int]] = {}
+
+    def part(self, p: str) -> list[int]:
+        if len(self.parts) > self.limit:
+            self.parts.clear()
+        got = self.parts[p] = [self.id_of[r] for r in self.bpe.encode_single_piece(p.encode() + b"\xff")]
+        return got
+
+    def __call__(self, words: list[str]) -> list[list[int]]:
+        out: list = [None] * len(words)
+        other, parts = [], self.parts
+        for i, w in enumerate(words):
+            if not self.PLAIN.fullmatch(w):
+                other.append(i)
+                continue
+            low = w.lower()
+            split = [low] if low.isalpha() else self.split.findall(low)
+            if len(split) == 1:
+                out[i] = parts.get(split[0]) or self.part(split[0])
+            else:
+                out[i] = [x for p in split for x in (parts.get(p) or self.part(p))]
+        if other:
+            for i, e in zip(other, self.whole.encode_batch_fast([words[i] for i in other], add_special_tokens=False), strict=True):
+                out[i] = e.ids
+        return out
+
+
+def word_encoder(path: str) -> common.WordIds:
+    """Encoder of words for the vocabulary with word ends, whose pre-tokens never hold white space."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = common.WordIds(FastWords(path))
     return _ENCODERS[path]
 
 
