@@ -44,7 +44,7 @@ class FastWords:
     #: The split pattern of the vocabulary file.
     SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-    def __init__(self, path: str, limit: int = 200_000):
+    def __init__(self, path: str, limit: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         import tiktoken
@@ -64,12 +64,12 @@ class FastWords:
         self.bpe = tiktoken.Encoding("merges", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe
         self.split = regex.compile(self.SPLIT)
         self.limit = limit
-        self.parts: dict[str, list[int]] = {}
+        self.parts: dict[str, tuple[int, ...]] = {}
 
-    def part(self, p: str) -> list[int]:
+    def part(self, p: str) -> tuple[int, ...]:
         if len(self.parts) > self.limit:
             self.parts.clear()
-        got = self.parts[p] = [self.id_of[r] for r in self.bpe.encode_single_piece(p.encode() + b"\xff")]
+        got = self.parts[p] = tuple(map(self.id_of.__getitem__, self.bpe.encode_single_piece(p.encode() + b"\xff")))
         return got
 
     def __call__(self, words: list[str]) -> list[list[int]]:
@@ -94,7 +94,7 @@ class FastWords:
 def word_encoder(path: str) -> common.WordIds:
     """Encoder of words for the vocabulary with word ends, whose pre-tokens never hold white space."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = common.WordIds(FastWords(path))
+        _ENCODERS[path] = common.WordIds(FastWords(path), 600_000)
     return _ENCODERS[path]
 
 
