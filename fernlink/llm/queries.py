@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from fernlink.llm import packing
+from fernlink.llm import fertility_rules, packing, quality_classifier
 
-QUERIES = {"op10_packing": packing.op10_packing}
+QUERIES = {
+    "op1_quality_classifier": quality_classifier.op1_quality_classifier,
+    "op3_fertility_rules": fertility_rules.op3_fertility_rules,
+    "op10_packing": packing.op10_packing,
+}
 SQL: dict[str, str] = {}
