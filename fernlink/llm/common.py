@@ -114,6 +114,19 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - lengths), lengths)
 
 
+class _Codes(dict):
+    """Numbers its keys from 0 in the order of their first look-up; ``new`` collects them."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self.new.append(word)
+        n = self[word] = len(self)
+        return n
+
+
 class WordIds:
     """Ids of words under a tokenizer that never crosses the split, remembered for distinct words.
 
@@ -127,7 +140,7 @@ class WordIds:
         self.reset()
 
     def reset(self) -> None:
-        self.code: dict[str, int] = {}
+        self.code = _Codes()
         self.ids = np.empty(0, np.uint32)
         self.starts = np.empty(0, np.int64)
         self.lengths = np.empty(0, np.int64)
@@ -136,17 +149,16 @@ class WordIds:
         """A code for each word; starts, lengths and ids are indexed by it until the next call."""
         if len(self.code) > self.limit:
             self.reset()
-        new = [w for w in dict.fromkeys(words) if w not in self.code]
-        if new:
+        codes = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
+        if new := self.code.new:
             got = self.encode(new)
             lengths = np.fromiter(map(len, got), np.int64, len(got))
             flat = np.fromiter(chain.from_iterable(got), np.uint32, int(lengths.sum()))
             self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
             self.lengths = np.concatenate([self.lengths, lengths])
             self.ids = np.concatenate([self.ids, flat])
-            n = len(self.code)
-            self.code.update(zip(new, range(n, n + len(new)), strict=True))
-        return np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
+            self.code.new = []
+        return codes
 
     def expand(self, codes: np.ndarray) -> np.ndarray:
         return self.ids[ranges(self.starts[codes], self.lengths[codes])]

@@ -36,6 +36,7 @@ class Bands:
     least: tuple[float, float, float, float] = (0.35, 0.35, 0.05, 0.8)
     short: float = 200.0
     least_docs: int = 30
+    salts: int = 64
 
 
 class _Vocabularies:
@@ -161,7 +162,8 @@ def rules(docs: DataFrame, piece_path: str, byte_path: str, bands: Bands = Bands
     sound = measured.where("not base_failed")
     whole = sound.agg(*centre()).first()  # three numbers a measure
     groups = sound.groupBy("_group").agg(F.count("*").alias("_n"), *centre()).where(F.col("_n") >= bands.least_docs)
-    rows = measured.join(groups, "_group", "left")
+    salted = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(bands.salts - 1))))  # a language may hold most rows
+    rows = measured.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(bands.salts)).cast("int")).join(salted, ["_group", "_salt"], "left")
     inside = F.lit(True)
     for m, least in zip(MEASURES, bands.least, strict=True):
         q = F.coalesce(f"_{m}", F.array(*map(F.lit, whole[f"_{m}"] or [None] * 3)).cast("array<double>"))
