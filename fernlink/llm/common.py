@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import gc
 import os
 import re
 import tempfile
@@ -83,6 +85,16 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def no_cycles() -> Iterator[None]:
+    """Hold Python's cycle search, which would walk the remembered words again and again."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+
+
 def slices(sizes: np.ndarray, limit: int) -> Iterator[slice]:
     """Consecutive slices whose sizes sum to about ``limit``; every item is in one slice."""
     start, total = 0, 0
@@ -178,3 +190,81 @@ def segment_sum(values: np.ndarray, offs: np.ndarray) -> np.ndarray:
     """Sums of values[offs[i]:offs[i + 1]]; empty segments give 0."""
     total = np.concatenate([[0], np.cumsum(values)])
     return total[offs[1:]] - total[offs[:-1]]
+
+
+def runs(batches: Iterator, key: str) -> Iterator:
+    """Tables of the rows of one key each, from batches that are sorted by it."""
+    import pyarrow as pa
+
+    held: list = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        k = batch.column(key).to_numpy(zero_copy_only=False)
+        cuts = np.flatnonzero(k[1:] != k[:-1]) + 1
+        if held and held[-1].column(key)[0].as_py() != k[0]:
+            yield pa.Table.from_batches(held)
+            held = []
+        at = 0
+        for c in cuts.tolist():
+            yield pa.Table.from_batches([*held, batch.slice(at, c - at)])
+            held, at = [], c
+        held.append(batch.slice(at))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def list_column(table, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """Flat values and offsets of a list column without nulls."""
+    col = table.column(name)
+    col = col.combine_chunks() if hasattr(col, "combine_chunks") else col
+    if hasattr(col, "chunks"):
+        col = col.chunk(0)
+    offs = col.offsets.to_numpy()
+    return col.values.to_numpy(zero_copy_only=False)[offs[0] : offs[-1]], offs - offs[0]
+
+
+def components(edges: DataFrame, label: str) -> DataFrame:
+    """node and its component's least node, for every node of the edges (columns a, b).
+
+    Alternates large-star and small-star steps until the edges form stars. Each step
+    is a sum over the edges of a node and a join, so a node of any degree is spread.
+    """
+
+    def star(e: DataFrame) -> DataFrame:
+        least = e.groupBy("u").agg(F.min("v").alias("m"))
+        return e.join(least, "u")
+
+    now = staged(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), label)
+    mark = None
+    while True:
+        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        large = star(both).withColumn("m", F.least("m", "u")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = large.where("u <> v").distinct()
+        small = star(large)
+        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+        now = staged(small, label)
+        was, mark = mark, tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        if was == mark:
+            return now.select(F.col("u").alias("node"), F.col("v").alias("least")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("least")).distinct())
+
+
+def whole_runs(batches: Iterator, key: str) -> Iterator:
+    """Tables of whole runs of equal keys, about a batch each, from batches that are sorted by the key."""
+    import pyarrow as pa
+
+    held: list = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        k = batch.column(key).to_numpy(zero_copy_only=False)
+        if held and held[-1].column(key)[0].as_py() != k[0] and k[0] == k[-1]:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held = []
+        if k[0] != k[-1]:
+            cut = int(np.argmax(k == k[-1]))
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)]).combine_chunks()
+            held, batch = [], batch.slice(cut)
+        held.append(batch)
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
