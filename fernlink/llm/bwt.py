@@ -34,7 +34,7 @@ class Shard:
             rank = self._ranks(rank * n + rank[jump])
             jump = jump[jump]
             known *= 2
-        order = np.argsort(rank, kind="stable")
+        order = np.argsort(rank)
         self.start = order
         place = np.empty(n, np.int64)
         place[order] = np.arange(n)
@@ -45,26 +45,35 @@ class Shard:
 
     @staticmethod
     def _ranks(key: np.ndarray) -> np.ndarray:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         k = key[order]
         out = np.empty(len(key), np.int64)
         out[order] = np.cumsum(np.r_[False, k[1:] != k[:-1]])
         return out
 
 
+def _dense(code: np.ndarray, bound: int) -> tuple[np.ndarray, int]:
+    """Codes without gaps, in the same order, and their number."""
+    seen = np.zeros(bound, bool)
+    seen[code] = True
+    number = np.cumsum(seen)
+    return number[code] - 1, int(number[-1])
+
+
 def _steps(last: np.ndarray, back: np.ndarray, depth: int) -> tuple[int, np.ndarray, np.ndarray]:
     """The most symbols a step can take (a divisor of the depth) while their strings have at most 65,536 codes; the codes and ranks for it."""
-    best = (1, last.astype(np.uint16), back)
-    code, at = last.astype(np.int64), back
+    single, _ = _dense(last, 257)
+    code, many = single, int(single.max(initial=0)) + 1
+    best = (1, code.astype(np.uint16), back)
+    at = back
     for q in range(2, 6):
         # the string of q symbols before a rotation: those further back come first
-        code = last[at].astype(np.int64) * (257 ** (q - 1)) + code
+        code, many = _dense(single[at] * many + code, (int(single.max(initial=0)) + 1) * many)
         at = back[at]
+        if many > 65_536:
+            break
         if depth % q == 0:
-            values, dense = np.unique(code, return_inverse=True)
-            if len(values) > 65_536:
-                break
-            best = (q, dense.astype(np.uint16), at)
+            best = (q, code.astype(np.uint16), at)
     return best
 
 

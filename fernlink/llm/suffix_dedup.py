@@ -1,9 +1,9 @@
 """Removal of repeated byte strings by merged Burrows-Wheeler transforms.
 
-Every string of ``length`` bytes (a window) holds an anchor: a position whose
-hash of ``seed`` bytes is least among those in the window. Equal windows have
-equal anchors, so only the surroundings of repeated anchors need sorting. Equal
-surroundings of an anchor are one string, known by two hashes of 64 bits: all
+Every string of ``length`` bytes (a window) has an anchor: the first position
+whose hash of ``seed`` bytes is least among those in the window. Equal windows
+have equal anchors, so only the surroundings of repeated anchors (the windows
+that have them) need sorting. Equal surroundings of an anchor are one string, known by two hashes of 64 bits: all
 but the first occurrence are removed whole. The different surroundings of one
 anchor meet in a bucket; there, shards' transforms are merged by interleave
 refinement, the groups of rotations with a common prefix of ``length`` bytes are
@@ -72,15 +72,18 @@ def _sliding(h: np.ndarray, w: int, op) -> np.ndarray:
     return out
 
 
-def anchors(raw: np.ndarray, length: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the anchors of a text of at least ``length`` bytes."""
+def anchors(raw: np.ndarray, length: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The anchors of a text of at least ``length`` bytes: position, and the first and last of the windows that have it.
+
+    A window's anchor is the first of its positions with the least hash, so each
+    window has one, at the same place wherever the window occurs.
+    """
+    bits = np.uint64(31)  # of the position; Spark's strings are shorter
     h = _Hash(raw, _A).rolling(seed)
-    w = length - seed + 1
-    least = _sliding(h, w, np.minimum)
-    pad = np.zeros(w - 1, np.uint64)
-    top = _sliding(np.concatenate([pad, least, pad]), w, np.maximum)
-    at = np.flatnonzero(top == h)
-    return at, h[at]
+    owner = _sliding((h >> bits << bits) | np.arange(len(h), dtype=np.uint64), length - seed + 1, np.minimum)
+    owner = (owner & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    lo = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+    return owner[lo], lo, np.r_[lo[1:], len(owner)] - 1
 
 
 def _first_of(keys: list[np.ndarray], places: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -102,7 +105,7 @@ def _numbered(docs: DataFrame) -> DataFrame:
     return rows.withColumn("copy", F.row_number().over(Window.partitionBy("did").orderBy(F.xxhash64("text"), "text")) - 1)
 
 
-def repeats(docs: DataFrame, length: int = 100, seed: int = 32, most: int = 4096) -> DataFrame:
+def repeats(docs: DataFrame, length: int = 100, seed: int = 32, most: int = 8192) -> DataFrame:
     """did, copy, lo and hi of byte ranges to remove; they may overlap. ``docs`` is numbered; ``most`` bounds a bucket's strings of one anchor."""
     span = length - seed  # an anchor's windows start up to so many bytes before it
 
@@ -122,7 +125,9 @@ def repeats(docs: DataFrame, length: int = 100, seed: int = 32, most: int = 4096
         """Of equal surroundings in a slice, the first goes on (kind 1) and the others are removed (kind 0)."""
         key, ctx, *place = (np.concatenate(x) for x in zip(*parts, strict=True))
         order, first = _first_of([key, ctx], place[:3])
-        return emit(first.astype(np.int32), key[order], ctx[order], [p[order] for p in place])
+        kind = np.empty(len(key), np.int32)
+        kind[order] = first
+        return emit(kind, key, ctx, place)
 
     def surroundings(batches: Iterator) -> Iterator:
         for batch in batches:
@@ -132,8 +137,8 @@ def repeats(docs: DataFrame, length: int = 100, seed: int = 32, most: int = 4096
                     n = len(raw)
                     if n < length:
                         continue
-                    at, h = anchors(raw, length, seed)
-                    lo, hi = np.maximum(at - span, 0), np.minimum(at, n - length)
+                    at, lo, hi = anchors(raw, length, seed)
+                    h = _Hash(raw, _A).of(at, at + seed)
                     ctx = _Hash(raw, _B).of(lo, hi + length)
                     rel = lo - (at - span)
                     parts.append((h, mixed(ctx + rel.astype(np.uint64)), np.full(len(at), did, np.int64), np.full(len(at), copy), lo, hi - lo + 1, rel))
@@ -168,7 +173,7 @@ def repeats(docs: DataFrame, length: int = 100, seed: int = 32, most: int = 4096
     removed = [verdict.where("kind = 0")]
     open_ = [verdict.where("kind = 1")]
     hot = verdict.where("kind = 2")
-    for width in (8, 1):
+    for width in (24, 8, 1):
         if hot.limit(1).count() == 0:
             break
 
@@ -245,7 +250,7 @@ def _with_text(docs: DataFrame, rows: DataFrame, columns: list[str]) -> DataFram
     return docs.select("did", "copy", "text").join(parts, ["did", "copy"])
 
 
-def removals(docs: DataFrame, length: int = 100, seed: int = 32, most: int = 4096) -> DataFrame:
+def removals(docs: DataFrame, length: int = 100, seed: int = 32, most: int = 8192) -> DataFrame:
     """Every row with what is left of its text: doc_id, n_bytes, n_removed, n_spans, kept (binary).
 
     Removed is each byte covered by a string of ``length`` bytes that also starts
