@@ -35,6 +35,7 @@ class Forest:
     longest: int = 8
     recall: float = 0.9995  # of a pair at the least similarity
     block: int = 512
+    broadcast: int = 2_000_000
 
     def depth(self) -> int:
         """The longest prefix at which a pair at the least similarity is found with the target recall."""
@@ -219,7 +220,10 @@ def join(docs: DataFrame, how: Forest = Forest()) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(digest, pa.binary()), pa.ListArray.from_arrays(pa.array(offs), pa.array(np.concatenate(sets).view(np.int64)))], ["rep", "digest", "set"])
 
     # shingle sets only of the classes that need them; texts that share a document's id, but not its set, fall away by the digest
-    heavy = pieces.join(needed.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(sets_of, "rep long, digest binary, set array<long>")
+    wanted_ids = needed.select(F.col("rep").alias("doc_id")).distinct()
+    if needed.count() <= how.broadcast:  # at most so many ids of eight bytes; more are joined by a shuffle of the texts
+        wanted_ids = F.broadcast(wanted_ids)
+    heavy = pieces.join(wanted_ids, "doc_id", "left_semi").mapInArrow(sets_of, "rep long, digest binary, set array<long>")
     heavy = heavy.dropDuplicates(["rep", "digest"])
     filled = needed.join(heavy, ["rep", "digest"]).repartition("cell").sortWithinPartitions("cell", "rep")
 
