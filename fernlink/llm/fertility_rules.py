@@ -143,19 +143,20 @@ def measure(docs: DataFrame, piece_path: str, byte_path: str, *keep: str) -> Dat
                     yield pa.RecordBatch.from_arrays([*cols, *(part.column(c) for c in keep)], ["doc_id", "_group", *counts, *MEASURES, *keep])
 
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
-    return common.texts(docs, *keep, lang.alias("_lang")).mapInArrow(run, schema)
+    return common.texts(docs, *(c for c in keep if c != "text"), lang.alias("_lang")).mapInArrow(run, schema)
 
 
-def rules(docs: DataFrame, piece_path: str, byte_path: str, bands: Bands = Bands()) -> DataFrame:
+def rules(docs: DataFrame, piece_path: str, byte_path: str, bands: Bands = Bands(), keep: tuple[str, ...] = ()) -> DataFrame:
     """Counts, measures and verdict of every document.
 
     A null or empty text has no words and fails the base rule. ``lang`` may be
     absent or null; then the script groups the documents. Repeated rows are judged
-    each. An empty table gives no rows. Other columns are ignored.
+    each. An empty table gives no rows. Other columns are
+    ignored, but for those named in ``keep``.
     """
     spread = F.when(F.col("n_tokens") > 0, F.sqrt(F.lit(1) + F.lit(bands.short) / F.col("n_tokens"))).otherwise(F.lit(1.0))
     base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    measured = common.staged(measure(docs, piece_path, byte_path), "fertility").withColumn("base_failed", base_failed)
+    measured = common.staged(measure(docs, piece_path, byte_path, *keep), "fertility").withColumn("base_failed", base_failed)
 
     def centre() -> list:
         return [F.percentile_approx(m, [0.25, 0.5, 0.75], 1000).alias(f"_{m}") for m in MEASURES]
@@ -170,7 +171,7 @@ def rules(docs: DataFrame, piece_path: str, byte_path: str, bands: Bands = Bands
         q = F.coalesce(f"_{m}", F.array(*map(F.lit, whole[f"_{m}"] or [None] * 3)).cast("array<double>"))
         half = F.greatest(F.lit(least), F.lit(bands.width / 1.349) * (q[2] - q[0])) * spread
         inside = inside & F.coalesce(F.abs(F.col(m) - q[1]) <= half, F.lit(True))
-    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & inside).alias("kept"), "n_tokens", *MEASURES)
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & inside).alias("kept"), "n_tokens", *MEASURES, *keep)
 
 
 def op3_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

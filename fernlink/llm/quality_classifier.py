@@ -159,7 +159,7 @@ def score(docs: DataFrame, forest: Forest, threshold: float = 0.7, *keep: str) -
     A null or empty text is scored by its (zero) statistics. Repeated rows are
     scored each. An empty table gives no rows.
     """
-    rows = common.texts(docs, *keep)
+    rows = common.texts(docs, *(c for c in keep if c != "text"))
     schema = "doc_id long, score double, predicted int" + "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches: Iterator) -> Iterator:

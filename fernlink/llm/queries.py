@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fernlink.llm import fertility_rules, packing, piece_codec, quality_classifier, shingle_join, style_tree, suffix_dedup, token_counts, topk_search
+from fernlink.llm import attention_lm, fertility_rules, packing, piece_codec, quality_classifier, shingle_join, style_tree, suffix_dedup, token_counts, topk_search
 
 QUERIES = {
     "op1_quality_classifier": quality_classifier.op1_quality_classifier,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_token_counts": token_counts.op5_token_counts,
     "op6_piece_codec": piece_codec.op6_piece_codec,
     "op7_style_tree": style_tree.op7_style_tree,
+    "op8_attention_lm": attention_lm.op8_attention_lm,
     "op9_topk_search": topk_search.op9_topk_search,
     "op10_packing": packing.op10_packing,
 }

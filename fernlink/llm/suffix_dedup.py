@@ -96,9 +96,9 @@ def _first_of(keys: list[np.ndarray], places: list[np.ndarray]) -> tuple[np.ndar
     return order, np.r_[True, ~same][: len(order)]
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
+def _numbered(docs: DataFrame, *keep: str) -> DataFrame:
     """did (a null id: before all), copy and text; ``copy`` tells the rows of one id apart, in the order of their text."""
-    rows = common.texts(docs).select("doc_id", F.coalesce("doc_id", F.lit(_NO_ID)).alias("did"), "text")
+    rows = common.texts(docs, *keep).select("doc_id", F.coalesce("doc_id", F.lit(_NO_ID)).alias("did"), "text", *keep)
     twice = rows.groupBy("did").agg(F.count("*").alias("c")).where("c > 1").limit(1).count()
     if not twice:
         return rows.withColumn("copy", F.lit(0))
@@ -250,8 +250,9 @@ def _with_text(docs: DataFrame, rows: DataFrame, columns: list[str]) -> DataFram
     return docs.select("did", "copy", "text").join(parts, ["did", "copy"])
 
 
-def removals(docs: DataFrame, length: int = 100, seed: int = 32, most: int = 8192) -> DataFrame:
-    """Every row with what is left of its text: doc_id, n_bytes, n_removed, n_spans, kept (binary).
+def removals(docs: DataFrame, length: int = 100, seed: int = 32, most: int = 8192, keep: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
+    """Every row with what is left of its text: doc_id, n_bytes, n_removed, n_spans, kept (binary) and the
+    columns in ``keep``; ``as_text`` gives text, without broken characters, in place of ``kept``.
 
     Removed is each byte covered by a string of ``length`` bytes that also starts
     earlier: in a smaller doc_id, or in the same text at an earlier start. Texts
@@ -259,9 +260,11 @@ def removals(docs: DataFrame, length: int = 100, seed: int = 32, most: int = 819
     documents. Rows that share an id are in the order of their text, a null id
     before all. Other columns are ignored; an empty table gives no rows.
     """
-    rows = _numbered(docs)
+    rows = _numbered(docs, *keep)
     ranges = repeats(rows, length, seed, most).groupBy("did", "copy").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
-    joined = rows.join(ranges, ["did", "copy"], "left").select("doc_id", "text", "ranges")
+    joined = rows.join(ranges, ["did", "copy"], "left").select("doc_id", "text", "ranges", *keep)
+
+    last = "text string" if as_text else "kept binary"
 
     def clean(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -280,9 +283,9 @@ def removals(docs: DataFrame, length: int = 100, seed: int = 32, most: int = 819
                     gone = np.cumsum(edge[:-1]) > 0
                     out.append((len(raw), int(gone.sum()), int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum()), np.frombuffer(raw, np.uint8)[~gone].tobytes()))
                 n, m, k, left = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(m, pa.int64()), pa.array(k, pa.int64()), pa.array(left, pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(m, pa.int64()), pa.array(k, pa.int64()), pa.array([x.decode("utf-8", "ignore") for x in left], pa.string()) if as_text else pa.array(left, pa.binary()), *(part.column(c) for c in keep)], ["doc_id", "n_bytes", "n_removed", "n_spans", last.split()[0], *keep])
 
-    return joined.mapInArrow(clean, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return joined.mapInArrow(clean, f"doc_id long, n_bytes long, n_removed long, n_spans long, {last}" + "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep))
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
