@@ -233,20 +233,21 @@ def extract(pages: DataFrame, least: float = 0.25, decay: float = 0.9, salts: in
             yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("page"), pa.array(nodes, kind)], ["host", "page", "nodes"])
 
     seen = rows.select("host", "page", "html").mapInArrow(summaries, "host string, page long, nodes array<struct<element:long,style:long,features:array<long>>>")
-    seen = common.staged(seen.dropDuplicates(["host", "page"]), "pages")
-    nodes = seen.select("host", "page", F.explode("nodes").alias("n")).select("host", "page", "n.*")
+    seen = common.staged(seen.dropDuplicates(["page"]), "pages")
+    # node: the element in its site, as one number
+    nodes = seen.select("host", "page", F.explode("nodes").alias("n")).select("page", "n.*", F.xxhash64("host", "n.element").alias("node"))
     # presentation: entropy of the styles of an element over the pages that have it, in units of its greatest possible value
-    style = nodes.groupBy("host", "element", "style").agg(F.count("*").alias("c"))
-    shape = style.groupBy("host", "element").agg(F.sum("c").alias("m"), F.sum(F.expr("c * ln(c)")).alias("clogc"))
-    feature = nodes.select("host", "element", F.explode("features").alias("f")).groupBy("host", "element", "f").agg(F.count("*").alias("c"))
-    content = feature.groupBy("host", "element").agg(F.avg(F.ln("c")).alias("logc"))
-    stats = shape.join(content, ["host", "element"], "left").select(
-        "host", "element",
+    style = nodes.groupBy("node", "style").agg(F.count("*").alias("c"))
+    shape = style.groupBy("node").agg(F.sum("c").alias("m"), F.sum(F.expr("c * ln(c)")).alias("clogc"))
+    feature = nodes.select("node", F.explode("features").alias("f")).groupBy("node", "f").agg(F.count("*").alias("c"))
+    content = feature.groupBy("node").agg(F.avg(F.ln("c")).alias("logc"))
+    stats = shape.join(content, "node", "left").select(
+        "node",
         F.when(F.col("m") == 1, 1.0).otherwise((F.ln("m") - F.col("clogc") / F.col("m")) / F.ln("m")).alias("shape"),
         F.when((F.col("m") == 1) | F.col("logc").isNull(), 1.0).otherwise(1 - F.col("logc") / F.ln("m")).alias("content"),
     ).where("shape < 1 or content < 1")
     stats = stats.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    of_page = nodes.select("host", "page", "element").withColumn("salt", F.pmod("page", F.lit(salts)).cast("int")).join(stats, ["host", "element", "salt"])
+    of_page = nodes.select("page", "element", "node").withColumn("salt", F.pmod("page", F.lit(salts)).cast("int")).join(stats, ["node", "salt"])
     known = of_page.groupBy("page").agg(F.collect_list(F.struct("element", "shape", "content")).alias("known"))  # as many as a page has elements
     joined = rows.join(known, "page", "left").select("page_id", "url", "html", "known")
 
