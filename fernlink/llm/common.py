@@ -144,9 +144,12 @@ class WordIds:
 
     ``encode`` takes a list of distinct words and returns a list of id lists. At
     most ``limit`` words are remembered, then the memory starts anew, so a Python
-    worker stays bounded however many words the corpus has.
+    worker stays bounded however many words the corpus has; and only the encoder
+    that was used last remembers, as a worker goes from stage to stage.
     """
 
+    last: WordIds | None = None
+
     def __init__(self, encode, limit: int = 300_000):
         self.encode, self.limit = encode, limit
         self.reset()
@@ -159,6 +162,10 @@ class WordIds:
 
     def codes(self, words: list[str]) -> np.ndarray:
         """A code for each word; starts, lengths and ids are indexed by it until the next call."""
+        if WordIds.last is not self:
+            if WordIds.last is not None:
+                WordIds.last.reset()
+            WordIds.last = self
         if len(self.code) > self.limit:
             self.reset()
         codes = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
