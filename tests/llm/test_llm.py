@@ -258,6 +258,20 @@ def test_attention_gradients():
         assert (up - down) / 2e-5 == pytest.approx(g[at], abs=1e-4), n
 
 
+def test_attention_states_equal_hidden():
+    shape = attention_lm.Shape(ranks=15, clusters=4, width=4, window=6, context=2)
+    model = attention_lm.Model(shape, np.arange(16) // 4)
+    rng = np.random.default_rng(3)
+    x, scored = rng.integers(0, 16, (9, 6)), rng.random((9, 6)) < 0.6
+    assert np.allclose(model.states(x, scored), model.hidden(x)[-1][scored], atol=1e-5)
+    assert model.states(x, np.zeros_like(scored)).shape == (0, 4)
+
+
+@pytest.mark.parametrize("text", ["", "ABC xyz", "ÀÉ Straße İ K \ud800Z", "\x00A\u00a0B"])
+def test_folding_is_of_ascii_letters_only(text):
+    assert attention_lm._lower(text) == "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
 def test_attention_scores(docs):
     got = by_id(attention_lm.lm_scores(docs, BYTES).collect())
     lower = lambda t: WORD.findall((t or "").translate({c: c + 32 for c in range(65, 91)})) + [""]
