@@ -5,9 +5,11 @@ their chain of tags with class, id and role; below each, the presentation styles
 (sequences of child elements) and contents (text blocks and links) of all pages
 are counted. An element whose presentation varies, or whose content differs from
 page to page, is important; what repeats over the site is not. The composite
-importance of a page's branches joins presentation and content; branches of low
-importance go, and so do those that their tag or class marks as furniture, which
-is all there is to judge by on a host with few pages.
+importance of a page's branches joins presentation and content; branches in which
+no part reaches the least importance go, inside an article or main element as
+outside, and so do those that their tag or class marks as furniture, which is all
+there is to judge by on a host with few pages. Inside an article or main element
+an element's importance starts near 1 and falls as more pages show it unvaried.
 """
 
 from __future__ import annotations
@@ -145,27 +147,39 @@ def summary(root: Node) -> list[tuple[int, int, list[int]]]:
     return [(k, _mark(*styles[k]), sorted(contents[k])) for k in styles]
 
 
-def composite(root: Node, known: dict[int, tuple[float, float]], decay: float) -> dict[int, float]:
-    """Importance of each node (by identity) of a page: its presentation and its content's, then its children's, decaying."""
-    order, todo = [], [root]
+def composite(root: Node, known: dict[int, tuple[float, float, int]], decay: float, doubt: float = 5.0) -> dict[int, float]:
+    """The greatest composite importance in each node's branch (by identity of the node).
+
+    A node's composite importance is its presentation's and its content's, then its
+    children's, decaying. ``known``: presentation, content and number of pages of an
+    element; inside an article or main element ``doubt`` more pages, all different,
+    are counted in.
+    """
+    order, todo = [], [(root, False)]
     while todo:
-        node = todo.pop()
-        order.append(node)
-        todo += [c for c in node.children if isinstance(c, Node)]
+        node, inside = todo.pop()
+        inside = inside or node.tag in MAIN
+        order.append((node, inside))
+        todo += [(c, inside) for c in node.children if isinstance(c, Node)]
     out: dict[int, float] = {}
-    for node in reversed(order):
-        shape, content = known.get(node.key, (1.0, 1.0))
-        below = [out[id(c)] for c in node.children if isinstance(c, Node)]
+    peak: dict[int, float] = {}
+    for node, inside in reversed(order):
+        shape, content, pages = known.get(node.key, (1.0, 1.0, 1))
+        if inside:
+            shape, content = ((x * pages + doubt) / (pages + doubt) for x in (shape, content))
+        nodes = [id(c) for c in node.children if isinstance(c, Node)]
+        below = [out[c] for c in nodes]
         if any(isinstance(c, (tuple, str)) and (isinstance(c, tuple) or c.strip()) for c in node.children):
             below.append(content)
-        out[id(node)] = (1 - decay ** len(below)) * shape + decay ** len(below) * (sum(below) / len(below)) if below else content
-        if below and max(below) < out[id(node)]:
-            out[id(node)] = max(below)  # varied presentation of worthless parts is worthless
-    return out
+        mine = (1 - decay ** len(below)) * shape + decay ** len(below) * (sum(below) / len(below)) if below else content
+        if below and max(below) < mine:
+            mine = max(below)  # varied presentation of worthless parts is worthless
+        out[id(node)], peak[id(node)] = mine, max([mine, *(peak[c] for c in nodes)])
+    return peak
 
 
 def main_text(root: Node, importance: dict[int, float], least: float) -> str:
-    """Blocks of the branches that stay. Inside an article or main element only marks, not importance, remove a branch."""
+    """Blocks of the branches that stay. Importance, tags and marks judge every branch; in the running text of an article or main element, an inline element stays with its sentence."""
     blocks: list[str] = []
     run: list[str] = []
 
@@ -174,28 +188,16 @@ def main_text(root: Node, importance: dict[int, float], least: float) -> str:
             blocks.append(text)
         run.clear()
 
-    def gone(node: Node, inside: bool) -> bool:
-        return node.tag in DROPPED or node.marked or (node.tag == "header" and not inside) or (not inside and node.tag not in MAIN and importance[id(node)] < least)
-
-    def holds(node: Node) -> bool:
-        todo = [(node, False)]
-        while todo:
-            x, inside = todo.pop()
-            for c in x.children:
-                if isinstance(c, Node):
-                    if not gone(c, True):
-                        todo.append((c, inside or c.tag in MAIN))
-                elif inside and isinstance(c, str) and c.strip():
-                    return True
-        return False
-
-    narrow = holds(root)  # with an article or main element of any text, only that counts
+    def gone(node: Node, inside: bool, flow: bool) -> bool:
+        if node.tag in DROPPED or node.marked or (node.tag == "header" and not inside):
+            return True
+        return importance[id(node)] < least and not (inside and flow and node.tag in INLINE)
+
     todo: list = [(root, False, False)]
     while todo:
         x, inside, closing = todo.pop()
         if isinstance(x, str):
-            if inside or not narrow:
-                run.append(x)
+            run.append(x)
             continue
         block = x.tag not in INLINE
         if block:
@@ -207,10 +209,9 @@ def main_text(root: Node, importance: dict[int, float], least: float) -> str:
         if block:
             todo.append((x, inside, True))
         inside = inside or x.tag in MAIN
+        flow = any(isinstance(c, str) and c.strip() for c in x.children)
         for c in reversed(x.children):
-            if isinstance(c, str):
-                todo.append((c, inside, False))
-            elif isinstance(c, Node) and not gone(c, inside or (narrow and c.tag not in DROPPED)):
+            if isinstance(c, str) or (isinstance(c, Node) and not gone(c, inside, flow)):
                 todo.append((c, inside, False))
     end()
     return "\n\n".join(blocks)
@@ -247,12 +248,13 @@ def extract(pages: DataFrame, least: float = 0.25, decay: float = 0.9, salts: in
     content = feature.groupBy("host", "element").agg(F.avg(F.ln("c")).alias("logc"))
     stats = shape.join(content, ["host", "element"], "left").select(
         "host", "element",
-        F.when(F.col("m") == 1, 1.0).otherwise((F.ln("m") - F.col("clogc") / F.col("m")) / F.ln("m")).alias("shape"),
-        F.when((F.col("m") == 1) | F.col("logc").isNull(), 1.0).otherwise(1 - F.col("logc") / F.ln("m")).alias("content"),
+        F.when(F.col("m") == 1, 1.0).otherwise((F.ln("m") - F.col("clogc") / F.col("m")) / F.ln("m")).cast("float").alias("shape"),
+        F.when((F.col("m") == 1) | F.col("logc").isNull(), 1.0).otherwise(1 - F.col("logc") / F.ln("m")).cast("float").alias("content"),
+        F.least("m", F.lit(2**31 - 1)).cast("int").alias("pages"),
     ).where("shape < 1 or content < 1")
     stats = stats.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     of_page = nodes.select("host", "page", "element").withColumn("salt", F.pmod("page", F.lit(salts)).cast("int")).join(stats, ["host", "element", "salt"])
-    known = of_page.groupBy("page").agg(F.collect_list(F.struct("element", "shape", "content")).alias("known"))  # as many as a page has elements
+    known = of_page.groupBy("page").agg(F.collect_list(F.struct("element", "shape", "content", "pages")).alias("known"))  # as many as a page has elements
     joined = rows.join(known, "page", "left").select("page_id", "url", "html", "known")
 
     def texts(batches: Iterator) -> Iterator:
@@ -262,7 +264,7 @@ def extract(pages: DataFrame, least: float = 0.25, decay: float = 0.9, salts: in
             out = []
             for h, known in zip(batch.column("html").to_pylist(), batch.column("known").to_pylist(), strict=True):
                 root = parse(h)
-                out.append(main_text(root, composite(root, {x["element"]: (x["shape"], x["content"]) for x in known or ()}, decay), least))
+                out.append(main_text(root, composite(root, {x["element"]: (x["shape"], x["content"], x["pages"]) for x in known or ()}, decay), least))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(out, pa.string()), pa.array(np.fromiter(map(len, out), np.int64, len(out)))], ["page_id", "url", "text", "n_chars"])
 
     return joined.mapInArrow(texts, "page_id long, url string, text string, n_chars long")
