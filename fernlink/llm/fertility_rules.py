@@ -4,7 +4,8 @@ Public vocabularies split every distinct word once. The measures of all
 documents give a median and a spread for each language (documents without a
 language: their script); a document is rejected when a measure lies outside the
 band around its group's median. Short documents get wider bands, as their
-measures vary more.
+measures vary more, and so do the bands of groups of few documents, whose median
+is less certain. A group is judged by its own median at every size.
 """
 
 from __future__ import annotations
@@ -21,21 +22,21 @@ from fernlink.llm import common
 SYMBOLS = b"#*$%&|<>"
 MEASURES = ("piece_chars", "byte_chars", "fallback", "entropy")
 #: Letters beyond Latin: (first, last code point, script).
-SCRIPTS = ((0x370, 0x3FF, "greek"), (0x400, 0x52F, "cyrillic"), (0x590, 0x5FF, "hebrew"), (0x600, 0x6FF, "arabic"), (0x900, 0x97F, "devanagari"), (0x3040, 0x30FF, "kana"), (0x4E00, 0x9FFF, "han"), (0xAC00, 0xD7AF, "hangul"))
+SCRIPTS = ((0x370, 0x3FF, "greek"), (0x400, 0x52F, "cyrillic"), (0x530, 0x58F, "armenian"), (0x590, 0x5FF, "hebrew"), (0x600, 0x6FF, "arabic"), (0x900, 0x97F, "devanagari"), (0x980, 0x9FF, "bengali"), (0xA00, 0xA7F, "gurmukhi"), (0xA80, 0xAFF, "gujarati"), (0xB00, 0xB7F, "oriya"), (0xB80, 0xBFF, "tamil"), (0xC00, 0xC7F, "telugu"), (0xC80, 0xCFF, "kannada"), (0xD00, 0xD7F, "malayalam"), (0xD80, 0xDFF, "sinhala"), (0xE00, 0xE7F, "thai"), (0xE80, 0xEFF, "lao"), (0xF00, 0xFFF, "tibetan"), (0x1000, 0x109F, "myanmar"), (0x10A0, 0x10FF, "georgian"), (0x1200, 0x137F, "ethiopic"), (0x1780, 0x17FF, "khmer"), (0x1800, 0x18AF, "mongolian"), (0x3040, 0x30FF, "kana"), (0x4E00, 0x9FFF, "han"), (0xAC00, 0xD7AF, "hangul"))
 
 
 @dataclass(frozen=True)
 class Bands:
     """Band half-widths in robust standard deviations of the group, and the least half-widths.
 
-    A measure of n tokens gets its half-width times sqrt(1 + short / n). A group of
-    fewer than ``least_docs`` documents takes the bands of all documents.
+    A measure of n tokens in a group of m sound documents gets its half-width times
+    sqrt((1 + short / n) * (1 + few / m)).
     """
 
     width: float = 6.0
     least: tuple[float, float, float, float] = (0.35, 0.35, 0.05, 0.8)
     short: float = 200.0
-    least_docs: int = 30
+    few: float = 30.0
     salts: int = 64
 
 
@@ -161,14 +162,13 @@ def rules(docs: DataFrame, piece_path: str, byte_path: str, bands: Bands = Bands
     def centre() -> list:
         return [F.percentile_approx(m, [0.25, 0.5, 0.75], 1000).alias(f"_{m}") for m in MEASURES]
 
-    sound = measured.where("not base_failed")
-    whole = sound.agg(*centre()).first()  # three numbers a measure
-    groups = sound.groupBy("_group").agg(F.count("*").alias("_n"), *centre()).where(F.col("_n") >= bands.least_docs)
+    groups = measured.where("not base_failed").groupBy("_group").agg(F.count("*").alias("_n"), *centre())
+    spread = spread * F.sqrt(F.lit(1) + F.lit(bands.few) / F.col("_n"))
     salted = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(bands.salts - 1))))  # a language may hold most rows
     rows = measured.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(bands.salts)).cast("int")).join(salted, ["_group", "_salt"], "left")
     inside = F.lit(True)
     for m, least in zip(MEASURES, bands.least, strict=True):
-        q = F.coalesce(f"_{m}", F.array(*map(F.lit, whole[f"_{m}"] or [None] * 3)).cast("array<double>"))
+        q = F.col(f"_{m}")  # null only where the whole group fails the base rule
         half = F.greatest(F.lit(least), F.lit(bands.width / 1.349) * (q[2] - q[0])) * spread
         inside = inside & F.coalesce(F.abs(F.col(m) - q[1]) <= half, F.lit(True))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & inside).alias("kept"), "n_tokens", *MEASURES, *keep)
