@@ -57,7 +57,8 @@ def device_hits(probe: DataFrame, catalogue: DataFrame, text: str, threshold: fl
     """For probe rows (text, supplier, n): best_similarity, best_match_devices, n_best_matches, and label if the best is unique.
 
     Candidates are the catalogue rows of the same supplier; all rows where the supplier
-    is null or not in the catalogue.
+    is null or not in the catalogue. The devices are the codes of all catalogue rows
+    that share the best similarity, in the catalogue's order.
     """
     refs = catalogue.select(F.coalesce(text, F.lit("")).alias("ref_text"), F.col(supplier).alias("supplier"), F.col(npc).alias("npc"), F.col(order).alias("ord"))
     texts = probe.select(F.coalesce("text", F.lit("")).alias("text"), "n")
@@ -65,15 +66,20 @@ def device_hits(probe: DataFrame, catalogue: DataFrame, text: str, threshold: fl
     known = refs.where("supplier is not null").select("supplier").distinct().withColumn("known", F.lit(True))
     asked = probe.select(F.coalesce("text", F.lit("")).alias("key"), "supplier").distinct().join(known, "supplier", "left")
     scored = similarities(texts, refs.withColumnRenamed("ref_text", "text"), corpus)
-    of_text = refs.groupBy("ref_text").agg(F.count("*").alias("c"), F.min_by("npc", "ord").alias("npc"))
-    of_supplier = refs.where("supplier is not null").groupBy("supplier", "ref_text").agg(F.count("*").alias("c"), F.min_by("npc", "ord").alias("npc"))
+    of_text = refs.groupBy("ref_text").agg(F.count("*").alias("c"))
+    of_supplier = refs.where("supplier is not null").groupBy("supplier", "ref_text").agg(F.count("*").alias("c"))
     pairs = asked.join(scored, asked["key"] == scored["text"]).drop("text")
     narrow = pairs.where("known").join(of_supplier, ["supplier", "ref_text"])
     wide = pairs.where("known is null").join(of_text, "ref_text")
-    both = narrow.select("key", "supplier", "ref_text", "score", "c", "npc").unionByName(wide.select("key", "supplier", "ref_text", "score", "c", "npc"))
+    both = narrow.select("key", "supplier", "ref_text", "score", "c", "known").unionByName(wide.select("key", "supplier", "ref_text", "score", "c", "known"))
     top = both.withColumn("best", F.max("score").over(Window.partitionBy("key", "supplier"))).where("score = best")
-    listed = top.groupBy("key", "supplier").agg(F.max("best").alias("best"), F.sum("c").alias("count"), F.array_sort(F.collect_list("npc")).alias("npcs"))
     ok = F.col("best") > threshold
+    over = top.where(ok).select("key", "supplier", "ref_text", "known")  # only these name their devices
+    members = over.where("known").join(refs, ["supplier", "ref_text"]).select("key", "supplier", "ord", "npc")
+    members = members.unionByName(over.where("known is null").join(refs.drop("supplier"), "ref_text").select("key", "supplier", "ord", "npc"))
+    npcs = members.groupBy(F.col("key").alias("__k"), F.col("supplier").alias("__s")).agg(F.array_sort(F.collect_list(F.struct("ord", "npc"))).getField("npc").alias("npcs"))
+    best = top.groupBy("key", "supplier").agg(F.max("best").alias("best"), F.sum("c").alias("count"))
+    listed = best.join(npcs, (F.col("key") == F.col("__k")) & F.col("supplier").eqNullSafe(F.col("__s")), "left")
     return listed.select(
         F.col("key"), F.col("supplier"), F.col("best").alias("best_similarity"),
         F.when(ok, F.col("npcs")).otherwise(F.array().cast("array<string>")).alias("best_match_devices"),
@@ -85,7 +91,7 @@ def device_hits(probe: DataFrame, catalogue: DataFrame, text: str, threshold: fl
 def bag_of_words_matching(catalogue: DataFrame, rows: DataFrame, catalogue_text: str, text: str, threshold: float = 0.7, label: str = "matched_device", supplier: str = "Supplier", order: str = "ref_ord") -> DataFrame:
     """Unique best by similarity; an empty catalogue leaves the rows as they are, with a null similarity.
 
-    ``best_match_devices`` names one product code for each distinct best text.
+    ``best_match_devices`` names the product code of every catalogue row that ties for the best.
     """
     require(rows, label, text, supplier)
     extra = ("best_similarity", "n_best_matches", "best_match_devices")
