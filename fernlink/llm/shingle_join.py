@@ -1,10 +1,11 @@
-"""N-gram Jaccard join with a MinHash LSH forest and exact verification.
-
-Documents of one set of word shingles are one class from the start. Each tree of
-the forest sorts the signatures of the classes as a trie; a match is a common
-prefix. Prefixes are shortened until a pair at the least similarity shares one in
-some tree with the target recall; all longer matches lie in the runs of that
-shortest prefix. A run is dealt in cells of two blocks at most, so a run of any
+"""N-gram Jaccard join with MinHash banding at a fixed depth and exact verification.
+
+Documents of one set of word shingles are one class from the start. Each of
+``trees`` tables keys the classes by a hash of the first ``depth()`` values of
+their signatures there: the most with which a pair at the least similarity shares
+a key in some table with the target recall. Links are all pairs over one
+threshold, so nothing is gained by longer prefixes, and none are sorted as tries.
+A run is dealt in cells of two blocks at most, so a run of any
 length is spread over tasks. A pair belongs to the first tree in which its
 prefixes match and is verified there, once, on the whole shingle sets; pairs
 never become rows: a cell gives each member its links, summed, and a spanning
