@@ -68,9 +68,11 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is configured."""
+    """The folder that driver and executors share. Without one, a temporary folder serves where both are one process; a cluster must name it."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         where = getattr(spark, "_fernlink_shared", None)
         if where is None:
             where = spark._fernlink_shared = tempfile.mkdtemp(prefix="fernlink-")
@@ -85,14 +87,70 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: What workers remember between batches, by operator; a task empties what other operators left.
+_MEMORY: dict[str, dict] = {}
+_OWNERS: list[tuple[str, ...]] = []
+#: glibc's mallopt options and values: arrays up to 32 MiB come from the heap, of which up to 256 MiB stay for the next arrays of the task.
+_MALLOC = ((-3, 32 << 20), (-1, 256 << 20))
+
+
+def memory(owner: str) -> dict:
+    """What the named operator remembers in this process."""
+    return _MEMORY.setdefault(owner, {})
+
+
+def _libc():
+    import ctypes
+
+    try:
+        return ctypes.CDLL("libc.so.6")
+    except OSError:  # another C library: its own ways of keeping memory stay
+        return None
+
+
+def _give_back() -> None:
+    """Return what is free in this process to the system."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    if (c := _libc()) is not None:
+        c.malloc_trim(0)
+
+
 @contextlib.contextmanager
-def no_cycles() -> Iterator[None]:
-    """Hold Python's cycle search, which would walk the remembered words again and again."""
+def working(*owners: str) -> Iterator[None]:
+    """A task of the named operators in a Python worker.
+
+    Workers outlive stages, so a task first forgets what other operators left there,
+    and gives free memory back at its end. Python's cycle search, which would walk
+    the remembered words again and again, is held meanwhile.
+    """
+    if _OWNERS != [owners]:
+        for name, held in _MEMORY.items():
+            if name not in owners:
+                held.clear()
+        if not _OWNERS and (c := _libc()) is not None:
+            for option, value in _MALLOC:
+                c.mallopt(option, value)
+        _OWNERS[:] = [owners]
+        gc.collect()
+        _give_back()
     gc.disable()
     try:
         yield
     finally:
         gc.enable()
+        _give_back()
+
+
+def mapped(df: DataFrame, run, schema: str, *owners: str) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` as tasks of the named operators."""
+
+    def task(batches: Iterator) -> Iterator:
+        with working(*owners):
+            yield from run(batches)
+
+    return df.mapInArrow(task, schema)
 
 
 def slices(sizes: np.ndarray, limit: int) -> Iterator[slice]:
@@ -107,14 +165,14 @@ def slices(sizes: np.ndarray, limit: int) -> Iterator[slice]:
         yield slice(start, len(sizes))
 
 
-def text_slices(batch, limit: int = 2_000_000) -> Iterator[tuple]:
-    """(batch slice, list of texts) for bounded amounts of text of an Arrow batch with a column ``text``."""
+def text_slices(batch, limit: int = 2_000_000, column: str = "text") -> Iterator[tuple]:
+    """(batch slice, list of texts) for bounded amounts of text in ``column`` of an Arrow batch."""
     import pyarrow.compute as pc
 
-    sizes = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False) + 16
+    sizes = pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False) + 16
     for s in slices(sizes, limit):
         part = batch.slice(s.start, s.stop - s.start)
-        yield part, part.column("text").to_pylist()
+        yield part, part.column(column).to_pylist()
 
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -142,31 +200,25 @@ class _Codes(dict):
 class WordIds:
     """Ids of words under a tokenizer that never crosses the split, remembered for distinct words.
 
-    ``encode`` takes a list of distinct words and returns a list of id lists. At
-    most ``limit`` words are remembered, then the memory starts anew, so a Python
-    worker stays bounded however many words the corpus has; and only the encoder
-    that was used last remembers, as a worker goes from stage to stage.
+    ``encode`` takes a list of distinct words and returns a list of id lists. At most
+    ``limit`` words and ``chars`` characters are remembered, then the memory starts
+    anew, so a Python worker stays bounded however many words the corpus has.
     """
 
-    last: WordIds | None = None
-
-    def __init__(self, encode, limit: int = 300_000):
-        self.encode, self.limit = encode, limit
+    def __init__(self, encode, limit: int = 300_000, chars: int = 8_000_000):
+        self.encode, self.limit, self.chars = encode, limit, chars
         self.reset()
 
     def reset(self) -> None:
         self.code = _Codes()
+        self.held = 0
         self.ids = np.empty(0, np.uint32)
         self.starts = np.empty(0, np.int64)
         self.lengths = np.empty(0, np.int64)
 
     def codes(self, words: list[str]) -> np.ndarray:
         """A code for each word; starts, lengths and ids are indexed by it until the next call."""
-        if WordIds.last is not self:
-            if WordIds.last is not None:
-                WordIds.last.reset()
-            WordIds.last = self
-        if len(self.code) > self.limit:
+        if len(self.code) > self.limit or self.held > self.chars:
             self.reset()
         codes = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
         if new := self.code.new:
@@ -176,6 +228,7 @@ class WordIds:
             self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
             self.lengths = np.concatenate([self.lengths, lengths])
             self.ids = np.concatenate([self.ids, flat])
+            self.held += sum(map(len, new))
             self.code.new = []
         return codes
 

@@ -53,10 +53,7 @@ class _Vocabularies:
         tk = tiktoken.Encoding("bytes", pat_str=r"[^\S]*\S+", mergeable_ranks=ranks, special_tokens={})
         self.fallback = np.array([sp.is_byte(i) for i in range(sp.vocab_size())])
         one = tk._core_bpe.encode_single_piece
-        self.pieces = common.WordIds(lambda words: [x + [len(one(b" " + w.encode("utf-8", "replace")))] for x, w in zip(sp.encode(words, num_threads=1), words, strict=True)], 500_000)
-
-
-_LOADED: dict[tuple[str, str], _Vocabularies] = {}
+        self.pieces = common.WordIds(lambda words: [x + [len(one(b" " + w.encode("utf-8", "replace")))] for x, w in zip(sp.encode(words, num_threads=1), words, strict=True)], 250_000)
 
 
 def _script(text: str) -> str:
@@ -111,40 +108,41 @@ def measure(docs: DataFrame, piece_path: str, byte_path: str, *keep: str) -> Dat
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        if (at := (piece_path, byte_path)) not in _LOADED:
-            _LOADED[at] = _Vocabularies(*at)
-        v = _LOADED[at]
-        with common.no_cycles():
-            for batch in batches:
-                for part, some in common.text_slices(batch):
-                    words, n_words = common.split_words(some)
-                    codes = v.pieces.codes(words)
-                    w_offs = common.offsets(n_words)
-                    ids = v.pieces.expand(codes)
-                    t_offs = common.offsets(v.pieces.lengths[codes])
-                    last = np.zeros(len(ids), bool)
-                    last[t_offs[1:] - 1] = True  # the last value of a word is its number of byte-level tokens
-                    byte_tokens = common.segment_sum(ids[last].astype(np.int64), w_offs)
-                    p_offs = t_offs[w_offs] - w_offs
-                    ids = ids[~last]
-                    n_tokens = np.diff(p_offs)
-                    chars = common.segment_sum(np.fromiter(map(len, words), np.int64, len(words)), w_offs)
-                    symbols, dup = np.zeros(len(some), np.int64), np.zeros(len(some), np.int64)
-                    for i, t in enumerate(some):
-                        symbols[i] = sum(t.count(chr(c)) for c in SYMBOLS)
-                        if "\n" in t:
-                            lines = [x for x in t.split("\n") if common.WORD.search(x)]
-                            dup[i] = len(lines) - len(set(lines))
-                    repeat = np.array([_repeat_words(codes[a:b]) for a, b in zip(w_offs[:-1], w_offs[1:], strict=True)], np.int64).reshape(-1)
-                    lang = part.column("_lang").to_pylist()
-                    group = [x if x else f"script:{_script(t)}" for x, t in zip(lang, some, strict=True)]
-                    some_tokens = np.maximum(n_tokens, 1)
-                    cols = [part.column("doc_id"), pa.array(group, pa.string()), *map(pa.array, (n_words, chars, symbols, dup, repeat, n_tokens))]
-                    cols += [pa.array(x) for x in (chars / some_tokens, chars / np.maximum(byte_tokens, 1), common.segment_sum(v.fallback[ids].astype(np.int64), p_offs) / some_tokens, _entropies(ids, p_offs, len(v.fallback)))]
-                    yield pa.RecordBatch.from_arrays([*cols, *(part.column(c) for c in keep)], ["doc_id", "_group", *counts, *MEASURES, *keep])
+        held = common.memory("fertility_rules")
+        if (at := (piece_path, byte_path)) not in held:
+            held[at] = _Vocabularies(*at)
+        v = held[at]
+        for batch in batches:
+            for part, some in common.text_slices(batch):
+                words, n_words = common.split_words(some)
+                codes = v.pieces.codes(words)
+                w_offs = common.offsets(n_words)
+                ids = v.pieces.expand(codes)
+                t_offs = common.offsets(v.pieces.lengths[codes])
+                last = np.zeros(len(ids), bool)
+                last[t_offs[1:] - 1] = True  # the last value of a word is its number of byte-level tokens
+                byte_tokens = common.segment_sum(ids[last].astype(np.int64), w_offs)
+                p_offs = t_offs[w_offs] - w_offs
+                ids = ids[~last]
+                n_tokens = np.diff(p_offs)
+                chars = common.segment_sum(np.fromiter(map(len, words), np.int64, len(words)), w_offs)
+                symbols, dup = np.zeros(len(some), np.int64), np.zeros(len(some), np.int64)
+                for i, t in enumerate(some):
+                    symbols[i] = sum(t.count(chr(c)) for c in SYMBOLS)
+                    if "\n" in t:
+                        lines = [x for x in t.split("\n") if common.WORD.search(x)]
+                        dup[i] = len(lines) - len(set(lines))
+                repeat = np.array([_repeat_words(codes[a:b]) for a, b in zip(w_offs[:-1], w_offs[1:], strict=True)], np.int64).reshape(-1)
+                lang = part.column("_lang").to_pylist()
+                group = [x if x else f"script:{_script(t)}" for x, t in zip(lang, some, strict=True)]
+                some_tokens = np.maximum(n_tokens, 1)
+                cols = [part.column("doc_id"), pa.array(group, pa.string()), *map(pa.array, (n_words, chars, symbols, dup, repeat, n_tokens))]
+                cols += [pa.array(x) for x in (chars / some_tokens, chars / np.maximum(byte_tokens, 1), common.segment_sum(v.fallback[ids].astype(np.int64), p_offs) / some_tokens, _entropies(ids, p_offs, len(v.fallback)))]
+                yield pa.RecordBatch.from_arrays([*cols, *(part.column(c) for c in keep)], ["doc_id", "_group", *counts, *MEASURES, *keep])
 
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
-    return common.texts(docs, *(c for c in keep if c != "text"), lang.alias("_lang")).mapInArrow(run, schema)
+    rows = common.texts(docs, *(c for c in keep if c != "text"), lang.alias("_lang"))
+    return common.mapped(rows, run, schema, "fertility_rules")
 
 
 def rules(docs: DataFrame, piece_path: str, byte_path: str, bands: Bands = Bands(), keep: tuple[str, ...] = ()) -> DataFrame:

@@ -22,8 +22,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fernlink.llm import common
 
-_ENCODERS: dict[str, common.WordIds] = {}
-
 
 def _byte_of_char() -> dict[str, int]:
     """The byte that each character of a byte-level vocabulary stands for: printable ones themselves, the rest from U+0100."""
@@ -44,14 +42,13 @@ class FastWords:
     #: The split pattern of the vocabulary file.
     SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 150_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         import tiktoken
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True  # their strings in a text are ordinary text
         model = json.loads(Path(path).read_text())["model"]
         to_byte = _byte_of_char()
         as_bytes = lambda t: bytes(to_byte[c] for c in t.removesuffix("</w>")) + b"\xff" * t.endswith("</w>")
@@ -76,7 +73,7 @@ class FastWords:
         out: list = [None] * len(words)
         other, parts = [], self.parts
         for i, w in enumerate(words):
-            if not self.PLAIN.fullmatch(w):
+            if "<|" in w or not self.PLAIN.fullmatch(w):  # the strings of special ids start so
                 other.append(i)
                 continue
             low = w.lower()
@@ -93,9 +90,10 @@ class FastWords:
 
 def word_encoder(path: str) -> common.WordIds:
     """Encoder of words for the vocabulary with word ends, whose pre-tokens never hold white space."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = common.WordIds(FastWords(path), 600_000)
-    return _ENCODERS[path]
+    held = common.memory("packing")
+    if path not in held:
+        held[path] = common.WordIds(FastWords(path), 400_000, 16_000_000)
+    return held[path]
 
 
 def attention_cost(tokens: np.ndarray, linear: float, quadratic: float) -> np.ndarray:
@@ -179,24 +177,23 @@ def pack(docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 2, line
             waiting = 0
             return pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in cols], names)
 
-        with common.no_cycles():
-            for batch in batches:
-                for part, some in common.text_slices(batch):
-                    words, counts = common.split_words(some)
-                    codes = encoder.codes(words)
-                    per_word = common.offsets(encoder.lengths[codes])
-                    ends = per_word[common.offsets(counts)]
-                    flat = encoder.expand(codes)
-                    lengths = np.diff(ends) + 1
-                    flat = np.insert(flat, ends[1:], end_id)
-                    held.append((part.column("doc_id").to_pylist(), flat, lengths))
-                    waiting += len(flat)
-                    if waiting >= window_tokens:
-                        yield flush()
+        for batch in batches:
+            for part, some in common.text_slices(batch):
+                words, counts = common.split_words(some)
+                codes = encoder.codes(words)
+                per_word = common.offsets(encoder.lengths[codes])
+                ends = per_word[common.offsets(counts)]
+                flat = encoder.expand(codes)
+                lengths = np.diff(ends) + 1
+                flat = np.insert(flat, ends[1:], end_id)
+                held.append((part.column("doc_id").to_pylist(), flat, lengths))
+                waiting += len(flat)
+                if waiting >= window_tokens:
+                    yield flush()
         if held:
             yield flush()
 
-    return common.texts(docs).mapInArrow(run, schema)
+    return common.mapped(common.texts(docs), run, schema, "packing")
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,14 +12,13 @@ from pyspark.sql import functions as F
 
 from fernlink.llm import common, pieces
 
-_ENCODERS: dict[str, common.WordIds] = {}
-
 
 def encoder(path: str) -> common.WordIds:
-    if path not in _ENCODERS:
+    held = common.memory("piece_codec")
+    if path not in held:
         p = pieces.load(path)
-        _ENCODERS[path] = common.WordIds(lambda words: pieces.viterbi(p, words), 500_000)
-    return _ENCODERS[path]
+        held[path] = common.WordIds(lambda words: pieces.viterbi(p, words), 400_000)
+    return held[path]
 
 
 def _encoded(some: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
@@ -37,13 +36,12 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        with common.no_cycles():
-            for batch in batches:
-                for part, some in common.text_slices(batch):
-                    ids, offs = _encoded(some, path)
-                    yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), pa.array(ids))], ["doc_id", "ids"])
+        for batch in batches:
+            for part, some in common.text_slices(batch):
+                ids, offs = _encoded(some, path)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), pa.array(ids))], ["doc_id", "ids"])
 
-    return common.texts(docs).mapInArrow(run, "doc_id long, ids array<int>")
+    return common.mapped(common.texts(docs), run, "doc_id long, ids array<int>", "piece_codec", "pieces")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -57,7 +55,8 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([p.decode(np.array(x, np.int64)) for x in batch.column("ids").to_pylist()], pa.string())], ["doc_id", "text"])
 
-    return encoded.select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids")).mapInArrow(run, "doc_id long, text string")
+    ids = F.coalesce("ids", F.array().cast("array<int>")).alias("ids")
+    return common.mapped(encoded.select("doc_id", ids), run, "doc_id long, text string", "piece_codec", "pieces")
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
@@ -71,17 +70,17 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
         import pyarrow as pa
 
         p = pieces.load(path)
-        with common.no_cycles():
-            for batch in batches:
-                for part, some in common.text_slices(batch):
-                    ids, offs = _encoded(some, path)
-                    raw = memoryview(ids.astype("<u4")).cast("B")
-                    crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)]
-                    back = [p.decode(ids[a:b]) for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)]
-                    cols = [pa.array(np.diff(offs)), pa.array(common.segment_sum(p.is_byte[ids].astype(np.int64), offs)), pa.array(crc, pa.int64()), pa.array([hashlib.sha256(t.encode()).hexdigest() for t in back]), pa.array([a == b for a, b in zip(back, some, strict=True)], pa.bool_())]
-                    yield pa.RecordBatch.from_arrays([part.column("doc_id"), *cols], ["doc_id", "n_pieces", "n_byte_pieces", "ids_crc32", "decoded_sha256", "round_trip"])
-
-    return common.texts(docs).mapInArrow(run, "doc_id long, n_pieces long, n_byte_pieces long, ids_crc32 long, decoded_sha256 string, round_trip boolean")
+        for batch in batches:
+            for part, some in common.text_slices(batch):
+                ids, offs = _encoded(some, path)
+                raw = memoryview(ids.astype("<u4")).cast("B")
+                crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)]
+                back = [p.decode(ids[a:b]) for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)]
+                cols = [pa.array(np.diff(offs)), pa.array(common.segment_sum(p.is_byte[ids].astype(np.int64), offs)), pa.array(crc, pa.int64()), pa.array([hashlib.sha256(t.encode()).hexdigest() for t in back]), pa.array([a == b for a, b in zip(back, some, strict=True)], pa.bool_())]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *cols], ["doc_id", "n_pieces", "n_byte_pieces", "ids_crc32", "decoded_sha256", "round_trip"])
+
+    schema = "doc_id long, n_pieces long, n_byte_pieces long, ids_crc32 long, decoded_sha256 string, round_trip boolean"
+    return common.mapped(common.texts(docs), run, schema, "piece_codec", "pieces")
 
 
 def op6_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,10 +12,11 @@ from itertools import pairwise
 
 import numpy as np
 
+from fernlink.llm.common import memory, ranges
+
 SPACE = "▁"
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_LOADED: dict[str, Pieces] = {}
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:
@@ -107,16 +108,15 @@ class Pieces:
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; the space put before the text goes."""
-        from fernlink.llm.common import ranges
-
         raw = self.bytes[ranges(self.byte_start[ids], self.byte_len[ids])].tobytes()
         return raw.decode("utf-8", "replace").removeprefix(" ")
 
 
 def load(path: str) -> Pieces:
-    if path not in _LOADED:
-        _LOADED[path] = Pieces(path)
-    return _LOADED[path]
+    held = memory("pieces")
+    if path not in held:
+        held[path] = Pieces(path)
+    return held[path]
 
 
 def viterbi(p: Pieces, words: list[str], chunk: int = 500_000) -> list[np.ndarray]:

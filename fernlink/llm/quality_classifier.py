@@ -148,7 +148,8 @@ def train(docs: DataFrame, labels: DataFrame, how: Training = Training(), fold:
                 x = pa.array(list(statistics(some)), pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("_y"), x], ["doc_id", "y", "x"])
 
-    got = rows.mapInArrow(run, "doc_id long, y boolean, x array<double>").orderBy("doc_id", "x").limit(how.sample).collect()
+    known = common.mapped(rows, run, "doc_id long, y boolean, x array<double>", "quality_classifier")
+    got = known.orderBy(F.xxhash64("doc_id"), "doc_id", "x").limit(how.sample).collect()  # a bounded sample
     x = np.array([r.x for r in got]).reshape(-1, len(FEATURES))
     return fit(x, np.array([float(r.y) for r in got]), how)
 
@@ -170,7 +171,7 @@ def score(docs: DataFrame, forest: Forest, threshold: float = 0.7, *keep: str) -
                 p = forest.score(statistics(some))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(p), pa.array((p >= threshold).astype(np.int32)), *(part.column(c) for c in keep)], ["doc_id", "score", "predicted", *keep])
 
-    return rows.mapInArrow(run, schema)
+    return common.mapped(rows, run, schema, "quality_classifier")
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

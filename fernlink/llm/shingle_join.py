@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 
 from fernlink.llm import common
 
-_HASHES: list[common.WordIds] = []
 _WIDE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -53,16 +52,17 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 def _word_hashes(words: list[str]) -> np.ndarray:
-    if not _HASHES:
+    held = common.memory("shingle_join")
+    if not held:
         import xxhash
 
         def halves(some: list[str]) -> list[tuple[int, int]]:
             h = [xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in some]
             return [(x & 0xFFFFFFFF, x >> 32) for x in h]
 
-        _HASHES.append(common.WordIds(halves, 500_000))
-    codes = _HASHES[0].codes(words)
-    return _HASHES[0].ids.view(np.uint64)[codes]
+        held["words"] = common.WordIds(halves, 250_000)
+    codes = held["words"].codes(words)
+    return held["words"].ids.view(np.uint64)[codes]
 
 
 def shingles(some: list[str], n: int) -> list[np.ndarray]:
@@ -170,19 +170,18 @@ def join(docs: DataFrame, how: Forest = Forest()) -> DataFrame:
     def signed(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        with common.no_cycles():
-            for batch in batches:
-                for part, some in common.text_slices(batch):
-                    sets = shingles(some, n)
-                    kept = [i for i, s in enumerate(sets) if len(s)]
-                    keys = prefixes([sets[i] for i in kept], how).view(np.int64)
-                    digest = [hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest() for i in kept]
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column("doc_id").take(pa.array(kept, pa.int64())), pa.array(digest, pa.binary()), pa.array([len(sets[i]) for i in kept], pa.int32()), pa.ListArray.from_arrays(pa.array(np.arange(len(kept) + 1, dtype=np.int32) * trees), pa.array(keys.ravel()))],
-                        ["doc_id", "digest", "size", "keys"],
-                    )
-
-    signed_docs = common.staged(pieces.mapInArrow(signed, "doc_id long, digest binary, size int, keys array<long>"), "signed")
+        for batch in batches:
+            for part, some in common.text_slices(batch):
+                sets = shingles(some, n)
+                kept = [i for i, s in enumerate(sets) if len(s)]
+                keys = prefixes([sets[i] for i in kept], how).view(np.int64)
+                digest = [hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest() for i in kept]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id").take(pa.array(kept, pa.int64())), pa.array(digest, pa.binary()), pa.array([len(sets[i]) for i in kept], pa.int32()), pa.ListArray.from_arrays(pa.array(np.arange(len(kept) + 1, dtype=np.int32) * trees), pa.array(keys.ravel()))],
+                    ["doc_id", "digest", "size", "keys"],
+                )
+
+    signed_docs = common.staged(common.mapped(pieces, signed, "doc_id long, digest binary, size int, keys array<long>", "shingle_join"), "signed")
     classes = common.staged(signed_docs.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("keys").alias("keys")), "classes")
     # runs of two classes and more; cells of at most two blocks
     matched = classes.select("rep", "digest", F.posexplode("keys").alias("tree", "key"))
@@ -208,7 +207,7 @@ def join(docs: DataFrame, how: Forest = Forest()) -> DataFrame:
                 if (some := new.any(0) | new.any(1)).any():
                     yield from t.filter(pa.array(some)).combine_chunks().to_batches()
 
-    needed = common.staged(light.select(*(f.split()[0] for f in fields.split(", "))).mapInArrow(wanted, fields), "cells")
+    needed = common.staged(common.mapped(light.select(*(f.split()[0] for f in fields.split(", "))), wanted, fields, "shingle_join"), "cells")
 
     def sets_of(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -224,7 +223,7 @@ def join(docs: DataFrame, how: Forest = Forest()) -> DataFrame:
     wanted_ids = needed.select(F.col("rep").alias("doc_id")).distinct()
     if needed.count() <= how.broadcast:  # at most so many ids of eight bytes; more are joined by a shuffle of the texts
         wanted_ids = F.broadcast(wanted_ids)
-    heavy = pieces.join(wanted_ids, "doc_id", "left_semi").mapInArrow(sets_of, "rep long, digest binary, set array<long>")
+    heavy = common.mapped(pieces.join(wanted_ids, "doc_id", "left_semi"), sets_of, "rep long, digest binary, set array<long>", "shingle_join")
     heavy = heavy.dropDuplicates(["rep", "digest"])
     filled = needed.join(heavy, ["rep", "digest"]).repartition("cell").sortWithinPartitions("cell", "rep")
 
@@ -245,7 +244,7 @@ def join(docs: DataFrame, how: Forest = Forest()) -> DataFrame:
                 some = linked.any(1)
                 yield pa.RecordBatch.from_arrays([pa.array(rep[some]), t.column("digest").combine_chunks().filter(pa.array(some)), pa.array(rep[_stars(linked)][some]), pa.array((linked @ copies)[some])], ["rep", "digest", "least", "links"])
 
-    links = common.staged(filled.select(*(f.split()[0] for f in fields.split(", ")), "set").mapInArrow(verify, "rep long, digest binary, least long, links long"), "links")
+    links = common.staged(common.mapped(filled.select(*(f.split()[0] for f in fields.split(", ")), "set"), verify, "rep long, digest binary, least long, links long", "shingle_join"), "links")
     total = links.groupBy("digest").agg(F.sum("links").alias("links"))
     found = common.components(links.select(F.col("rep").alias("a"), F.col("least").alias("b")), "components")
     per_class = classes.select("digest", "rep", "copies").join(total, "digest", "left").join(found.withColumnRenamed("node", "rep"), "rep", "left")

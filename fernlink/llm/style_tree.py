@@ -233,12 +233,13 @@ def extract(pages: DataFrame, least: float = 0.25, decay: float = 0.9, salts: in
     def summaries(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        kind = pa.list_(pa.struct([("element", pa.int64()), ("style", pa.int32()), ("features", pa.list_(pa.int32()))]))
         for batch in batches:
-            nodes = [[{"element": k, "style": s, "features": f} for k, s, f in summary(parse(h))] for h in batch.column("html").to_pylist()]
-            kind = pa.list_(pa.struct([("element", pa.int64()), ("style", pa.int32()), ("features", pa.list_(pa.int32()))]))
-            yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("page"), pa.array(nodes, kind)], ["host", "page", "nodes"])
+            for part, some in common.text_slices(batch, column="html"):
+                nodes = [[{"element": k, "style": s, "features": f} for k, s, f in summary(parse(h))] for h in some]
+                yield pa.RecordBatch.from_arrays([part.column("host"), part.column("page"), pa.array(nodes, kind)], ["host", "page", "nodes"])
 
-    seen = rows.select("host", "page", "html").mapInArrow(summaries, "host string, page long, nodes array<struct<element:long,style:int,features:array<int>>>")
+    seen = common.mapped(rows.select("host", "page", "html"), summaries, "host string, page long, nodes array<struct<element:long,style:int,features:array<int>>>", "style_tree")
     seen = common.staged(seen.dropDuplicates(["host", "page"]), "pages")
     nodes = seen.select("host", "page", F.explode("nodes").alias("n")).select("host", "page", "n.*")
     # presentation: entropy of the styles of an element over the pages that have it, in units of its greatest possible value
@@ -261,13 +262,14 @@ def extract(pages: DataFrame, least: float = 0.25, decay: float = 0.9, salts: in
         import pyarrow as pa
 
         for batch in batches:
-            out = []
-            for h, known in zip(batch.column("html").to_pylist(), batch.column("known").to_pylist(), strict=True):
-                root = parse(h)
-                out.append(main_text(root, composite(root, {x["element"]: (x["shape"], x["content"], x["pages"]) for x in known or ()}, decay), least))
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(out, pa.string()), pa.array(np.fromiter(map(len, out), np.int64, len(out)))], ["page_id", "url", "text", "n_chars"])
-
-    return joined.mapInArrow(texts, "page_id long, url string, text string, n_chars long")
+            for part, some in common.text_slices(batch, column="html"):
+                out = []
+                for h, known in zip(some, part.column("known").to_pylist(), strict=True):
+                    root = parse(h)
+                    out.append(main_text(root, composite(root, {x["element"]: (x["shape"], x["content"], x["pages"]) for x in known or ()}, decay), least))
+                yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(out, pa.string()), pa.array(np.fromiter(map(len, out), np.int64, len(out)))], ["page_id", "url", "text", "n_chars"])
+
+    return common.mapped(joined, texts, "page_id long, url string, text string, n_chars long", "style_tree")
 
 
 def op7_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,8 +36,6 @@ PLACE = "did long, copy int, start int, windows int, rel int"
 class _Hash:
     """Polynomial hashes of all substrings of some bytes."""
 
-    _power: dict[int, np.ndarray] = {}
-
     def __init__(self, raw: np.ndarray, base: np.uint64):
         n = len(raw)
         inverse = pow(int(base), -1, 1 << 64)
@@ -48,11 +46,12 @@ class _Hash:
 
     @classmethod
     def _powers(cls, base: int, n: int) -> np.ndarray:
-        if len(cls._power.get(base, ())) < n:
+        held = common.memory("suffix_dedup")
+        if len(held.get(base, ())) < n:
             p = np.full(max(n, 1 << 16), base, np.uint64)
             p[0] = 1
-            cls._power[base] = np.multiply.accumulate(p)
-        return cls._power[base]
+            held[base] = np.multiply.accumulate(p)
+        return held[base]
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mixed((self.sums[end] - self.sums[start]) * self.up[start] + (end - start).astype(np.uint64))
@@ -166,10 +165,10 @@ def repeats(docs: DataFrame, length: int = 100, seed: int = 32, most: int = 8192
         """The verdicts on (kind, key, ctx, place) rows; those that are decided only pass, spread by their place."""
         lot = F.when(F.col("kind") == 1, F.col("key")).otherwise(F.xxhash64("did", "copy", "start"))
         rows = rows.withColumn("lot", lot).repartition("lot").sortWithinPartitions("lot", F.desc("kind"), "ctx", "did", "copy", "start")
-        return common.staged(rows.mapInArrow(judged, found), label)
+        return common.staged(common.mapped(rows, judged, found, "suffix_dedup"), label)
 
     first = docs.select("did", "copy", "text").where(F.octet_length("text") >= length)
-    verdict = judge(first.mapInArrow(surroundings, found), "repeats")
+    verdict = judge(common.mapped(first, surroundings, found, "suffix_dedup"), "repeats")
     removed = [verdict.where("kind = 0")]
     open_ = [verdict.where("kind = 1")]
     hot = verdict.where("kind = 2")
@@ -196,7 +195,7 @@ def repeats(docs: DataFrame, length: int = 100, seed: int = 32, most: int = 8192
                     wanted = part.column("parts").to_pylist()
                     yield reduced([finer(wanted[i], raw, did, copy) for did, copy, raw, i in rows])
 
-        verdict = judge(_with_text(docs, hot, ["key", "start", "windows", "rel"]).mapInArrow(cut, found), f"repeats-{width}")
+        verdict = judge(common.mapped(_with_text(docs, hot, ["key", "start", "windows", "rel"]), cut, found, "suffix_dedup"), f"repeats-{width}")
         removed.append(verdict.where("kind = 0"))
         open_.append(verdict.where("kind = 1"))
         hot = verdict.where("kind = 2")
@@ -237,8 +236,8 @@ def repeats(docs: DataFrame, length: int = 100, seed: int = 32, most: int = 8192
     rest = open_[0]
     for x in open_[1:]:
         rest = rest.unionByName(x)
-    pieces = _with_text(docs, rest, ["key", "start", "windows", "rel"]).mapInArrow(strings, "key long, did long, copy int, start int, piece binary")
-    out = pieces.repartition("key").sortWithinPartitions("key").mapInArrow(merged, "did long, copy int, lo int, hi int")
+    pieces = common.mapped(_with_text(docs, rest, ["key", "start", "windows", "rel"]), strings, "key long, did long, copy int, start int, piece binary", "suffix_dedup")
+    out = common.mapped(pieces.repartition("key").sortWithinPartitions("key"), merged, "did long, copy int, lo int, hi int", "suffix_dedup")
     for x in removed:
         out = out.unionByName(x.select("did", "copy", F.col("start").alias("lo"), (F.col("start") + F.col("windows") + (length - 1)).cast("int").alias("hi")))
     return out
@@ -285,7 +284,7 @@ def removals(docs: DataFrame, length: int = 100, seed: int = 32, most: int = 819
                 n, m, k, left = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(m, pa.int64()), pa.array(k, pa.int64()), pa.array([x.decode("utf-8", "ignore") for x in left], pa.string()) if as_text else pa.array(left, pa.binary()), *(part.column(c) for c in keep)], ["doc_id", "n_bytes", "n_removed", "n_spans", last.split()[0], *keep])
 
-    return joined.mapInArrow(clean, f"doc_id long, n_bytes long, n_removed long, n_spans long, {last}" + "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep))
+    return common.mapped(joined, clean, f"doc_id long, n_bytes long, n_removed long, n_spans long, {last}" + "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), "suffix_dedup")
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

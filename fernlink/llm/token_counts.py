@@ -9,14 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fernlink.llm import common, pieces
 
-_COUNTERS: dict[str, common.WordIds] = {}
-
 
 def _counter(path: str) -> common.WordIds:
-    if path not in _COUNTERS:
+    held = common.memory("token_counts")
+    if path not in held:
         p = pieces.load(path)
-        _COUNTERS[path] = common.WordIds(lambda words: [(n,) for n in pieces.trie_counts(p, words).tolist()], 600_000)
-    return _COUNTERS[path]
+        held[path] = common.WordIds(lambda words: [(n,) for n in pieces.trie_counts(p, words).tolist()], 500_000, 16_000_000)
+    return held[path]
 
 
 def token_counts(docs: DataFrame, path: str) -> DataFrame:
@@ -30,16 +29,15 @@ def token_counts(docs: DataFrame, path: str) -> DataFrame:
         import pyarrow as pa
 
         p, counter = pieces.load(path), _counter(path)
-        with common.no_cycles():
-            for batch in batches:
-                for part, some in common.text_slices(batch, 4_000_000):
-                    each = [p.words(t) for t in some]
-                    n = np.fromiter(map(len, each), np.int64, len(each))
-                    codes = counter.codes([w for x in each for w in x])
-                    total = common.segment_sum(counter.ids[counter.starts[codes]].astype(np.int64), common.offsets(n))
-                    yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n), pa.array(total)], ["doc_id", "n_pretokens", "n_tokens"])
-
-    return common.texts(docs).mapInArrow(run, "doc_id long, n_pretokens long, n_tokens long")
+        for batch in batches:
+            for part, some in common.text_slices(batch, 4_000_000):
+                each = [p.words(t) for t in some]
+                n = np.fromiter(map(len, each), np.int64, len(each))
+                codes = counter.codes([w for x in each for w in x])
+                total = common.segment_sum(counter.ids[counter.starts[codes]].astype(np.int64), common.offsets(n))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n), pa.array(total)], ["doc_id", "n_pretokens", "n_tokens"])
+
+    return common.mapped(common.texts(docs), run, "doc_id long, n_pretokens long, n_tokens long", "token_counts", "pieces")
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

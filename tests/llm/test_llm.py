@@ -200,9 +200,17 @@ def test_packing(docs):
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(WORDS)
-    whole.encode_special_tokens = True
+    special = [(20, "a<|endoftext|>b <|startoftext|> <|ENDOFTEXT|>"), (21, "<|endoftext|><|endoftext|>. x<|")]
+    docs = docs.unionByName(docs.sparkSession.createDataFrame(special, "doc_id long, text string"), allowMissingColumns=True)
     got = packing.pack(docs, WORDS, with_ids=True).collect()
-    assert sum(r.length for r in got) == sum(len(whole.encode(t or "", add_special_tokens=False).ids) + 1 for _, t in ROWS)
+    rows = [*ROWS, *special]
+    want = collections.Counter((i, tuple([*whole.encode(t or "", add_special_tokens=False).ids, 2])) for i, t in rows)
+    assert sum(r.length for r in got) == sum(len(ids) * n for (_, ids), n in want.items())
+    once = [i for i, n in collections.Counter(i for i, _ in rows).items() if n == 1]
+    for i in once:
+        ids = tuple(x for r in sorted((r for r in got if r.doc_id == i), key=lambda r: r.start) for x in r.ids)
+        assert want[i, ids] == 1, i
+    assert whole.token_to_id("<|endoftext|>") in {x for r in got for x in r.ids}
     sequences, pieces_of = collections.defaultdict(list), by_id(got)
     for r in got:
         sequences[r.sequence_id].append(r)
@@ -240,13 +248,36 @@ def test_style_tree(spark):
     assert (out[200], out[201], out[202], out[203]) == ([""], [""], ["cut"], ["just text <"])
 
 
-def test_attention_gradients():
-    shape = attention_lm.Shape(ranks=15, clusters=4, width=4, window=6, context=2)
-    model = attention_lm.Model(shape, np.arange(16) // 4)
+def tiny_model(seed=3):
+    """16 ids in clusters of up to 4, of which 0, 3, 5 and 6 begin a word or are the end."""
+    begins = np.isin(np.arange(16), [0, 3, 5, 6])
+    shape = attention_lm.Shape(ranks=15, cluster=4, width=4, window=6, context=2, frame=2)
+    model = attention_lm.Model(shape, attention_lm.clusters(np.arange(16)[::-1].copy(), begins, 4), seed)
     model.w = {n: p.astype(np.float64) for n, p in model.w.items()}
+    return model, begins
+
+
+def dense(model, x):
+    """A plain forward pass of one window: a row of probabilities of all ids for each position."""
+    w, d, out = model.w, model.shape.width, []
+    e = np.array([w["emb"][i] + w["pos"][t] for t, i in enumerate(x)])
+    q, k, v = (e @ w["qkv"][:, i * d : (i + 1) * d] for i in range(3))
+    for t in range(len(x)):
+        a = np.exp([q[t] @ k[j] / math.sqrt(d) for j in range(t + 1)])
+        r = e[t] + (a / a.sum()) @ v[: t + 1]
+        h = r + np.maximum(r @ w["h1"], 0) @ w["h2"]
+        c = np.exp(h @ w["c"] + w["cb"])
+        z = np.exp(np.einsum("d,kde->ke", h, w["i"]) + w["ib"])
+        p = (c / c.sum())[:, None] * z / z.sum(1, keepdims=True)
+        out.append([p[model.clusters.of[i], model.clusters.within[i]] for i in range(model.shape.ids)])
+    return np.array(out)
+
+
+def test_attention_gradients():
+    model, _ = tiny_model()
     r = np.random.default_rng(1)
     x, y, scored = r.integers(0, 16, (3, 6)), r.integers(0, 16, (3, 6)), r.random((3, 6)) < 0.7
-    loss = lambda: -model.log_probs(x, y, scored).mean()
+    loss = lambda: -np.mean(-np.log([dense(model, a)[t, b[t]] for a, b, c in zip(x, y, scored, strict=True) for t in range(6) if c[t]]) * -1)
     for n, g in model.gradients(x, y, scored).items():
         at = tuple(r.integers(0, s) for s in g.shape)
         keep = model.w[n][at]
@@ -258,13 +289,54 @@ def test_attention_gradients():
         assert (up - down) / 2e-5 == pytest.approx(g[at], abs=1e-4), n
 
 
-def test_attention_states_equal_hidden():
-    shape = attention_lm.Shape(ranks=15, clusters=4, width=4, window=6, context=2)
-    model = attention_lm.Model(shape, np.arange(16) // 4)
-    rng = np.random.default_rng(3)
-    x, scored = rng.integers(0, 16, (9, 6)), rng.random((9, 6)) < 0.6
-    assert np.allclose(model.states(x, scored), model.hidden(x)[-1][scored], atol=1e-5)
-    assert model.states(x, np.zeros_like(scored)).shape == (0, 4)
+def test_attention_scores_equal_a_plain_pass_in_every_window():
+    model, begins = tiny_model()
+    r = np.random.default_rng(5)
+    docs = []
+    for n in (0, 1, 3, 9):  # words of an id that begins one and some that do not
+        docs.append([[int(r.choice([3, 5, 6])), *map(int, r.choice(np.flatnonzero(~begins), r.integers(0, 4)))] for _ in range(n)])
+    flat = [i for words in docs for i in [*(x for w in words for x in w), 0]]
+    ends = np.cumsum([0, *(sum(map(len, words)) + 1 for words in docs)])
+    got = attention_lm.word_log_probs(model, np.array(flat), ends, begins)
+    want = []
+    for lo, hi in zip(ends[:-1], ends[1:], strict=True):
+        own, before, at = flat[lo:hi], [0, *flat[lo : hi - 1]], 0
+        p = np.empty((len(own), 16))
+        while at < len(own):  # windows of six, of which later ones begin with two ids of context
+            start = max(0, at - 2) if at else 0
+            rows = dense(model, before[start : start + 6])
+            p[at : start + len(rows)] = rows[at - start :]
+            at = start + len(rows)
+        starts = [t for t, i in enumerate(own) if begins[i]]
+        for t, after in zip(starts, [*starts[1:], None], strict=True):
+            x = p[t, own[t]] / p[t, begins].sum()
+            for u in range(t + 1, after if after else t + 1):
+                x *= p[u, own[u]]
+            want.append(math.log(x * (p[after, begins].sum() if after else 1)))
+    assert np.allclose(got, want)
+
+
+def test_attention_words_sum_to_one():
+    """Over all words of up to six ids, the probabilities sum to 1 less that of longer words."""
+    model, begins = tiny_model()
+    model.w["c"][:, model.clusters.begins] *= 3
+    first, other = np.flatnonzero(begins), np.flatnonzero(~begins)
+    total, longer = 0.0, 0.0
+    todo = [([0], 1.0)]
+    while todo:
+        ids, p = todo.pop()
+        row = dense(model, ids)[-1]
+        if len(ids) == 1:
+            row = np.where(begins, row / row[begins].sum(), 0)
+            total += row[0]  # the end
+            todo += [([0, int(i)], row[i]) for i in first if i]
+            continue
+        total += p * row[begins].sum()
+        if len(ids) < 5 and p > 1e-7:
+            todo += [([*ids, int(i)], p * row[i]) for i in other]
+        else:
+            longer += p * row[other].sum()
+    assert total + longer == pytest.approx(1, abs=1e-9) and total > 0.5
 
 
 @pytest.mark.parametrize("text", ["", "ABC xyz", "ÀÉ Straße İ K \ud800Z", "\x00A\u00a0B"])
