@@ -11,46 +11,53 @@ from fernlink.operators.matchers import require
 REVIEW = ("manufacturer_match", "manufacturer_comment", "device_match", "device_comment")
 
 
-def allocate(counts: dict[str, int], total: int, least: int = 1) -> dict[str, int]:
-    """Rows to draw from each group: proportional, at least ``least``, ``total`` in sum.
-
-    Equal fractions and sizes go by group name. Raises where the least shares alone are over the total.
+def allocation(counts: DataFrame, group: str, total: int, least: int = 1) -> DataFrame:
+    """group and n: rows to draw from each group of ``counts`` (group, c); proportional, at least ``least``, ``total`` in sum.
+
+    A group's share is rounded down; what is then left goes to the largest fractions,
+    and no group gives more rows than it has. A difference that these two bounds leave
+    is settled in rounds of one row for each group that still has room, larger groups
+    first. Equal fractions and sizes go by group. Raises where the least shares alone
+    are over the total, so there are never more groups than ``total / least`` in the
+    one partition of the windows.
     """
-    size = sum(counts.values())
-    if total >= size:
-        return dict(counts)
-    if sum(min(c, least) for c in counts.values()) > total:
+    every = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    row = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("size"), F.coalesce(F.sum(F.least("c", F.lit(least))), F.lit(0)).alias("needed")).first()
+    if total >= row["size"]:
+        return counts.select(group, F.col("c").alias("n"))
+    if row["needed"] > total:
         raise ValueError("total is below the least number of rows of all groups")
-    exact = {g: c / size * total for g, c in counts.items()}
-    out = {g: max(int(x), least) for g, x in exact.items()}
-    left = total - sum(out.values())
-    for g in sorted(exact, key=lambda g: (-(exact[g] - int(exact[g])), g))[: max(left, 0)]:
-        out[g] += 1
-    out = {g: min(n, counts[g]) for g, n in out.items()}
-    left = total - sum(out.values())
-    order = sorted(counts, key=lambda g: (-counts[g], g))
-    at = 0
-    while left:
-        g = order[at % len(order)]
-        if left > 0 and out[g] < counts[g]:
-            out[g], left = out[g] + 1, left - 1
-        elif left < 0 and out[g] > least:
-            out[g], left = out[g] - 1, left + 1
-        at += 1
-    return out
-
-
-def stratified_proportional_sample(rows: DataFrame, group: str, key: str, total_n: int = 500, min_per_group: int = 1, seed: int = 42, drop_na: bool = False, most_groups: int = 100_000) -> tuple[DataFrame, DataFrame]:
-    """(sample, allocation). The draw is by the hash of ``key`` and the seed. Null groups are UNKNOWN, or left out."""
+    share = F.col("c").cast("double") / F.lit(row["size"]) * F.lit(total)
+    first = counts.select(group, "c", share.alias("share")).withColumn("base", F.greatest(F.floor("share"), F.lit(least)))
+    by_fraction = Window.orderBy(F.desc(F.col("share") - F.floor("share")), group)
+    topped = F.when(F.row_number().over(by_fraction) <= F.lit(total) - F.sum("base").over(every), 1).otherwise(0)
+    second = first.withColumn("n", F.least(F.col("base") + topped, F.col("c"))).withColumn("gap", F.lit(total) - F.sum("n").over(every))
+    room = F.when(F.col("gap") > 0, F.col("c") - F.col("n")).when(F.col("gap") < 0, F.greatest(F.col("n") - F.lit(least), F.lit(0))).otherwise(0)
+    third = second.withColumn("room", room).withColumn("need", F.abs("gap"))
+    # whole rounds: between two neighbouring rooms, each round moves one row of every group with more room
+    by_room = Window.orderBy("room", group)
+    before = F.coalesce(F.lag("room").over(by_room), F.lit(0))
+    groups = F.count("*").over(every) - F.row_number().over(by_room) + 1
+    moved = F.coalesce(F.sum("room").over(by_room.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + before * groups
+    rounds = F.when(moved <= F.col("need"), F.least(F.col("room"), before + F.floor((F.col("need") - moved) / groups)))
+    fourth = third.withColumn("rounds", rounds).withColumn("rounds", F.max("rounds").over(every)).withColumn("whole", F.least("room", "rounds"))
+    more = F.col("room") > F.col("rounds")
+    turn = F.row_number().over(Window.partitionBy(more).orderBy(F.desc("c"), group))
+    step = F.col("whole") + F.when(more & (turn <= F.col("need") - F.sum("whole").over(every)), 1).otherwise(0)
+    return fourth.select(group, (F.col("n") + F.signum("gap").cast("long") * step).cast("long").alias("n"))
+
+
+def stratified_proportional_sample(rows: DataFrame, group: str, key: str, total_n: int = 500, min_per_group: int = 1, seed: int = 42, drop_na: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(sample, allocation). A group's rows are drawn in the order of md5("seed:key"), then key. Null groups are UNKNOWN, or left out.
+
+    No group gives more than ``total_n`` rows, so a task passes on that many rows of a group at most.
+    """
     require(rows, group, key)
     named = rows.where(F.col(group).isNotNull()) if drop_na else rows.withColumn(group, F.coalesce(F.col(group).cast("string"), F.lit("UNKNOWN")))
-    found = named.groupBy(group).count().limit(most_groups + 1).collect()  # a row a group
-    if len(found) > most_groups:
-        raise ValueError(f"more than {most_groups} groups")
-    n = allocate({r[0]: r["count"] for r in found}, total_n, min_per_group)
-    allocation = rows.sparkSession.createDataFrame([(g, r) for g, r in sorted(n.items())], f"`{group}` string, n long")
-    drawn = named.withColumn("__r", F.row_number().over(Window.partitionBy(group).orderBy(F.xxhash64(F.col(key), F.lit(seed)), key)))
-    return drawn.join(allocation, group).where("__r <= n").select(*rows.columns), allocation
+    share = allocation(named.groupBy(group).agg(F.count("*").alias("c")), group, total_n, min_per_group)
+    draw = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
+    drawn = named.withColumn("__r", F.row_number().over(Window.partitionBy(group).orderBy(draw, key))).where(F.col("__r") <= total_n)
+    return drawn.join(share, group).where("__r <= n").select(*rows.columns), share
 
 
 def apply_reviews(rows: DataFrame, reviews: DataFrame, key: str, only_reviewed: bool = True) -> DataFrame:
@@ -72,8 +79,7 @@ def merge_labels(rows: DataFrame, labelled: DataFrame, on: str, label: str = "go
 
 def level_counts(rows: DataFrame, label: str, level: str) -> DataFrame:
     """Rows at each level, and the share of all rows without a label in per cent."""
-    each = rows.groupBy(F.coalesce(level, F.lit("unmatched")).alias("level")).agg(F.count("*").alias("n"), F.sum(F.col(label).isNull().cast("long")).alias("open"))
-    return each
+    return rows.groupBy(F.coalesce(level, F.lit("unmatched")).alias("level")).agg(F.count("*").alias("n"), F.sum(F.col(label).isNull().cast("long")).alias("open"))
 
 
 def unmatched_pct(rows: DataFrame, label: str) -> DataFrame:
