@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,17 +102,35 @@ def test_term_vectors(spark):
     assert labels(same, "id", "matched_device") == {0: None, 1: None, 2: None, 3: None, 4: "kept"}
 
 
-def test_allocation():
-    assert evaluation.allocate({"a": 90, "b": 9, "c": 1}, 10) == {"a": 8, "b": 1, "c": 1}
-    assert evaluation.allocate({"a": 2, "b": 2}, 10) == {"a": 2, "b": 2}
+@pytest.mark.parametrize(
+    ("counts", "total", "least", "want"),
+    [
+        ({"a": 90, "b": 9, "c": 1}, 10, 1, {"a": 8, "b": 1, "c": 1}),  # the least shares are taken back from the largest
+        ({"a": 2, "b": 2}, 10, 1, {"a": 2, "b": 2}),
+        ({"a": 50, "b": 30, "c": 20}, 10, 1, {"a": 5, "b": 3, "c": 2}),
+        ({"a": 5, "b": 5, "c": 5}, 10, 1, {"a": 4, "b": 3, "c": 3}),  # equal fractions go by group
+        ({"a": 100, "b": 60, "c": 2, "d": 2}, 41, 9, {"a": 23, "b": 14, "c": 2, "d": 2}),  # c and d have no more
+        ({"a": 1000, "b": 7, "c": 6, "d": 5}, 30, 4, {"a": 18, "b": 4, "c": 4, "d": 4}),
+        ({"a": 40, "b": 39, "c": 21}, 90, 25, {"a": 35, "b": 34, "c": 21}),  # the difference goes round, larger groups first
+    ],
+)
+def test_allocation(spark, counts, total, least, want):
+    got = evaluation.allocation(spark.createDataFrame(list(counts.items()), "g string, c long"), "g", total, least)
+    assert {r.g: r.n for r in got.collect()} == want
+
+
+def test_allocation_that_cannot_be_met(spark):
     with pytest.raises(ValueError, match="least"):
-        evaluation.allocate({"a": 5, "b": 5, "c": 5}, 2)
+        evaluation.allocation(spark.createDataFrame([("a", 5), ("b", 5), ("c", 5)], "g string, c long"), "g", 2)
 
 
 def test_sample_is_exact(spark):
     rows = spark.range(200).withColumn("g", F.when(F.col("id") % 10 == 0, None).otherwise((F.col("id") % 3).cast("string")))
     sample, allocation = evaluation.stratified_proportional_sample(rows, "g", "id", 30)
-    assert sample.count() == 30 and {r.g for r in allocation.collect()} == {"0", "1", "2", "UNKNOWN"}
+    n = {r.g: r.n for r in allocation.collect()}
+    group = lambda i: "UNKNOWN" if i % 10 == 0 else str(i % 3)
+    want = {g: sorted((i for i in range(200) if group(i) == g), key=lambda i: hashlib.md5(f"42:{i}".encode()).hexdigest())[: n[g]] for g in ("0", "1", "2", "UNKNOWN")}
+    assert sum(n.values()) == 30 and {(r.g, r.id) for r in sample.collect()} == {(g, i) for g, ids in want.items() for i in ids}
 
 
 def test_reviews_and_labels(spark):
