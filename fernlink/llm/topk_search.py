@@ -1,159 +1,132 @@
 """Exact top-k search over binary codes by incremental multi-index hashing.
 
-A code's bits are the signs of the embedding's values. Codes are cut into
-segments; each segment has an index of its own. The search radius grows segment
-by segment: once all segments were searched to radius r, every code within
-distance m * (r + 1) - 1 of the query is known, so a query ends when its kth
-verified distance is not beyond that bound.
-
-The queries are a stated set (1 in 100 rows), searched against all rows in
-blocks: each pair of a block of distinct codes and a block of distinct query
-codes is a task of bounded memory.
+A code's bits are the signs of the embedding's values. Codes of one length are cut
+into segments of about log2(n) bits, n being the number of different codes, so a
+bucket (a segment and its value) holds about one code. Buckets are rows, found by
+equality: in round r, each query that is still open probes in every segment the
+values that differ from its own in r bits. Any code within distance m * (r + 1) - 1
+of a query agrees with it to r bits in one of the m segments, so after round r
+these are all verified, and a query ends when its kth verified distance is covered
+by that bound. No query looks through all codes; the radii can only grow to the
+segments' widths.
+
+All of it is DataFrame operations. A bucket with many codes is cut into pieces, and
+what probes it is repeated for each, so no task holds all of it. A candidate pair
+counts in the first round and segment that finds it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from itertools import combinations
+from dataclasses import dataclass
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fernlink.llm import common
 
-SEGMENT = 16
-_MASKS: dict[int, np.ndarray] = {}
+WORD = 64  # bits of a code's words
 
 
-def _masks(radius: int) -> np.ndarray:
-    """All segment values with ``radius`` bits."""
-    if radius not in _MASKS:
-        _MASKS[radius] = np.array([sum(1 << b for b in c) for c in combinations(range(SEGMENT), radius)], np.int64)
-    return _MASKS[radius]
+def binary_codes(rows: DataFrame, id_col: str, vector: str) -> DataFrame:
+    """id, bits and code of each row with a vector and an id; bit i is vector[i] > 0, NaN and null count as 0.
 
+    ``bits`` is the number of values; ``code`` holds the bits in words of 64, the lowest first.
+    """
+    v, n = F.col("v"), F.size("v")
+    sign = F.transform(v, lambda x: F.when((x > 0) & ~F.isnan(x.cast("double")), F.lit(1)).otherwise(F.lit(0)).cast("long"))
+    first = lambda w: F.aggregate(
+        F.sequence(F.lit(0), F.least(n - w * WORD, F.lit(WORD)) - 1), F.lit(0).cast("long"), lambda a, i: a.bitwiseOR(F.call_function("shiftleft", F.get("sign", w * WORD + i), i))
+    )
+    code = F.when(n == 0, F.array().cast("array<bigint>")).otherwise(F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(n / WORD).cast("int") - 1, F.lit(0))), first))
+    given = rows.where(F.col(vector).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(vector).alias("v"))
+    return given.withColumn("sign", sign).select("id", n.alias("bits"), code.alias("code"))
 
-def binary_codes(rows: DataFrame, id_col: str, vector: str) -> DataFrame:
-    """id and code (bytes, a multiple of a segment) of each row with a vector; bit i is vector[i] > 0, NaN and null count as 0."""
-    common.ship(rows.sparkSession)
-
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        for batch in batches:
-            each = [np.array([x is not None and x > 0 for x in v], bool) for v in batch.column("v").to_pylist()]
-            codes = [np.packbits(b, bitorder="little").tobytes() for b in each]
-            codes = [c + bytes(-len(c) % (SEGMENT // 8)) for c in codes]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(codes, pa.binary())], ["id", "code"])
-
-    return rows.where(f"{vector} is not null and {id_col} is not null").select(F.col(id_col).alias("id"), F.col(vector).alias("v")).mapInArrow(run, "id long, code binary")
-
-
-class MultiIndex:
-    """Codes (rows of segment values) with a sorted index for each segment."""
-
-    def __init__(self, codes: np.ndarray):
-        self.codes = codes
-        self.order = [np.argsort(codes[:, s], kind="stable") for s in range(codes.shape[1])]
-        self.bounds = [np.searchsorted(codes[o, s], np.arange((1 << SEGMENT) + 1)) for s, o in enumerate(self.order)]
-
-    def top(self, queries: np.ndarray, ties: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(query row, code row, distance) of the k nearest codes of each query, by (distance, tie value)."""
-        n, m = self.codes.shape
-        width = queries.shape[1]
-        found = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64))
-        live = np.arange(len(queries))
-        for radius in range(SEGMENT + 1):
-            if not len(live):
-                break
-            masks = _masks(radius)
-            whole = len(masks) * m > n  # looking at all codes is less than the probes
-            parts = []
-            step = max(1, int(2_000_000 // (n if whole else max(len(masks), 1))))
-            for at in range(0, len(live), step):
-                some = live[at : at + step]
-                if whole:
-                    parts.append(self._near(queries, np.repeat(some, n), np.tile(np.arange(n), len(some)), radius, None))
-                    continue
-                for s in range(width):
-                    value = queries[some, s][:, None] ^ masks
-                    lo, hi = self.bounds[s][value], self.bounds[s][value + 1]
-                    count = hi - lo
-                    who = np.repeat(some, count.sum(1))
-                    parts.append(self._near(queries, who, self.order[s][common.ranges(lo.ravel(), count.ravel())], radius, s))
-            found = tuple(np.concatenate([f, *(p[i] for p in parts)]) for i, f in enumerate(found))
-            order = np.lexsort((ties[found[1]], found[2], found[0]))
-            found = tuple(f[order] for f in found)
-            first = np.searchsorted(found[0], found[0])
-            rank = np.arange(len(first)) - first
-            found = tuple(f[rank < k] for f in found)
-            if whole:
-                break
-            count = np.bincount(found[0], minlength=len(queries))
-            farthest = np.zeros(len(queries), np.int64)
-            np.maximum.at(farthest, found[0], found[2])
-            done = (count >= k) & (farthest <= m * (radius + 1) - 1)
-            live = live[~done[live]]
-        return found
-
-    def _near(self, queries: np.ndarray, who: np.ndarray, which: np.ndarray, radius: int, segment: int | None) -> tuple[np.ndarray, ...]:
-        """Verified distances of candidate pairs that no earlier radius or segment has given."""
-        apart = np.bitwise_count((queries[who] ^ self.codes[which]).astype(np.uint32)).astype(np.int64)
-        least = apart.min(1)
-        new = least >= radius if segment is None else (least == radius) & (apart.argmin(1) == segment)
-        return who[new], which[new], apart[new].sum(1)
-
-
-def _values(codes: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(codes), "<u2").reshape(len(codes), -1).astype(np.int64)
-
-
-def top_k(rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vector: str = "embedding", block: int = 200_000, query_block: int = 20_000, least_blocks: int = 16) -> DataFrame:
+
+def segments(m: Column) -> Column:
+    """(width, value) of the ``m`` segments of ``code``: their borders are spread evenly over the ``bits``."""
+    border = lambda s: F.floor(s * F.col("bits") / m).cast("int")
+    bit = lambda p: F.call_function("shiftright", F.get("code", F.floor(p / WORD).cast("int")), p % WORD).bitwiseAND(F.lit(1).cast("long"))
+    value = lambda lo, hi: F.when(hi > lo, F.aggregate(F.sequence(lo, F.greatest(hi - 1, lo)), F.lit(0).cast("long"), lambda a, p: F.call_function("shiftleft", a, F.lit(1)).bitwiseOR(bit(p)))).otherwise(F.lit(0).cast("long"))
+    return F.transform(F.sequence(F.lit(0), m - 1), lambda s: F.struct((border(s + 1) - border(s)).alias("width"), value(border(s), border(s + 1)).alias("value")))
+
+
+@dataclass(frozen=True)
+class Trace:
+    """What a search looked at: rounds, and for each the probes and the candidates verified."""
+
+    probes: list[int]
+    candidates: list[int]
+
+
+def top_k(rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vector: str = "embedding", piece: int = 4096, trace: Trace | None = None) -> DataFrame:
     """The k other rows nearest to each query row: query_id, rank (from 1), neighbor_id, distance.
 
     Distances are Hamming distances of the codes; ties go to the smaller id. Rows
     without a vector or an id take no part; vectors of another length have codes of
     another length and are never compared. A repeated id with the same code counts
     once. With fewer than k other rows, all of them are returned. Equal codes are
-    searched once: each distinct code stands for its k + 1 smallest ids.
+    searched once: each different code stands for its k + 1 smallest ids. Other columns
+    are ignored; an empty table gives no rows.
     """
-    spark = rows.sparkSession
-    coded = common.staged(binary_codes(rows, id_col, vector).groupBy("code", "id").agg(F.lit(1).alias("_")).drop("_"), "codes")
-    members = coded.withColumn("_r", F.row_number().over(Window.partitionBy("code").orderBy("id"))).where(F.col("_r") <= k + 1)
-    members = common.staged(members.drop("_r"), "members")
-    distinct = members.groupBy("code").agg(F.min("id").alias("tie"))
+    coded = common.staged(binary_codes(rows, id_col, vector).distinct(), "codes")
+    same = ("bits", "code")
+    members = coded.withColumn("_r", F.row_number().over(Window.partitionBy(*same).orderBy("id"))).where(F.col("_r") <= k + 1).drop("_r")
+    members = common.staged(members, "members")
+    distinct = members.groupBy(*same).agg(F.min("id").alias("tie"), F.count("*").alias("held"))
+    sizes = distinct.groupBy("bits").agg(F.count("*").alias("n"))
+    many = F.greatest(F.round(F.col("bits") / F.greatest(F.log2("n"), F.lit(1.0))).cast("int"), F.lit(1))
+    cut = distinct.join(sizes.select("bits", many.alias("m")), "bits").withColumn("segments", segments(F.col("m"))).drop("m")
+    cut = common.staged(cut, "segments")
+    # buckets, and the pieces of those with many codes
+    laid = cut.select("bits", "code", "tie", "held", "segments", F.posexplode("segments").alias("s", "_v")).select("*", F.col("_v.value").alias("value")).drop("_v")
+    bucket = ("bits", "s", "value")
+    buckets = laid.groupBy(*bucket).agg(F.count("*").alias("c")).select(*bucket, F.ceil(F.col("c") / piece).cast("int").alias("pieces"))
+    own = F.when(F.col("pieces") > 1, F.pmod(F.xxhash64("code"), F.col("pieces")).cast("int")).otherwise(0)
+    index = common.staged(laid.join(buckets, [*bucket]).select(*bucket, own.alias("piece"), "code", "tie", "held", "segments"), "buckets")
+    buckets = common.staged(buckets, "bucket-pieces")
     queries = coded.where(is_query)
-    wanted = queries.select("code").distinct()
-    n, nq = distinct.count(), wanted.count()
-    if not nq:
-        return spark.createDataFrame([], "query_id long, rank int, neighbor_id long, distance int")
-    blocks = max(-(-n // block), min(least_blocks, -(-n // 1024)))
-    query_blocks = -(-nq // query_block)
-    own_block = F.pmod(F.xxhash64("code"), F.lit(blocks)).cast("int")
-    own_query_block = F.pmod(F.xxhash64("code"), F.lit(query_blocks)).cast("int")
-    left = distinct.select("*", F.length("code").alias("size"), own_block.alias("b"), F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("q"))
-    right = wanted.select("*", F.length("code").alias("size"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("b"), own_query_block.alias("q"))
-
-    def search(a, b):
-        import pyarrow as pa
-
-        codes, tie = a.column("code").to_pylist(), a.column("tie").to_numpy()
-        asked = b.column("code").to_pylist()
-        if not codes or not asked or not codes[0]:
-            q, c, d = np.repeat(np.arange(len(asked)), len(codes)), np.tile(np.arange(len(codes)), len(asked)), np.zeros(len(asked) * len(codes), np.int64)
-        else:
-            q, c, d = MultiIndex(_values(codes)).top(_values(asked), tie, k + 1)
-        return pa.table({"query": pa.array([asked[i] for i in q.tolist()], pa.binary()), "code": pa.array([codes[i] for i in c.tolist()], pa.binary()), "distance": pa.array(d.astype(np.int32)), "tie": pa.array(tie[c], pa.int64())})
-
-    near = left.groupBy("size", "b", "q").cogroup(right.groupBy("size", "b", "q")).applyInArrow(search, "query binary, code binary, distance int, tie long")
-    best = Window.partitionBy("query").orderBy("distance", "tie")
-    near = near.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k + 1).drop("_r", "tie")
-    listed = near.join(members, "code").select("query", "distance", F.col("id").alias("neighbor_id"))
-    listed = listed.withColumn("_r", F.row_number().over(Window.partitionBy("query").orderBy("distance", "neighbor_id"))).where(F.col("_r") <= k + 1).drop("_r")
-    got = queries.select(F.col("id").alias("query_id"), F.col("code").alias("query")).join(listed, "query").where("query_id <> neighbor_id")
+    asked = queries.select(*same).distinct().join(cut.select("bits", F.col("code"), "segments"), [*same])
+    asked = common.staged(asked.select("bits", F.col("code").alias("q"), F.col("segments").alias("q_segments")), "asked")
+    if not asked.head(1):
+        return rows.sparkSession.createDataFrame([], "query_id long, rank int, neighbor_id long, distance int")
+    start = asked.select("bits", "q", F.posexplode("q_segments").alias("s", "_v")).select("bits", "q", "s", F.col("_v.width").alias("width"), F.col("_v.value").alias("value"), F.lit(-1).alias("top"))
+    frontier = common.staged(start, "probes-0")
+    open_, found, radius = asked, None, 0
+    while True:
+        hit = frontier.join(buckets, [*bucket]).withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+        hit = hit.select(*bucket, "piece", "q").join(asked, ["bits", "q"])
+        apart = F.zip_with("segments", "q_segments", lambda a, b: F.bit_count(a["value"].bitwiseXOR(b["value"])))
+        pairs = hit.join(index, [*bucket, "piece"]).withColumn("apart", apart)
+        new = pairs.where((F.array_min("apart") == radius) & (F.array_position("apart", F.lit(radius)) == F.col("s") + 1))
+        distance = F.aggregate("apart", F.lit(0), lambda a, x: a + x)
+        seen = new.select("bits", "q", "code", "tie", "held", distance.alias("distance"))
+        if trace is not None:
+            trace.probes.append(frontier.count())
+            trace.candidates.append(pairs.count())
+        order = Window.partitionBy("bits", "q").orderBy("distance", "tie")
+        best = seen if found is None else found.unionByName(seen)
+        found = common.staged(best.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= k + 1).drop("_r"), f"found-{radius}")
+        # a query ends when k others are known to be within the bound of the round
+        reach = Window.partitionBy("bits", "q").orderBy("distance").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        covered = found.withColumn("upto", F.sum("held").over(reach)).where(F.col("upto") >= k + 1).groupBy("bits", "q").agg(F.min("distance").alias("kth"))
+        done = covered.join(asked, ["bits", "q"]).where(F.col("kth") <= F.size("q_segments") * (radius + 1) - 1).select("bits", "q")
+        open_ = open_.join(done, ["bits", "q"], "left_anti")
+        grown = frontier.join(open_.select("bits", "q"), ["bits", "q"], "left_semi").where(F.col("top") + 1 < F.col("width"))
+        grown = grown.withColumn("bit", F.explode(F.sequence(F.col("top") + 1, F.col("width") - 1)))
+        flipped = F.col("value").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit")))
+        radius += 1
+        frontier = common.staged(grown.select("bits", "q", "s", "width", flipped.alias("value"), F.col("bit").alias("top")), f"probes-{radius}")
+        if not frontier.head(1):
+            break
+        open_ = common.staged(open_, f"open-{radius}")
+    near = found.select("bits", "q", "code", "distance")
+    listed = near.join(members, [*same]).select("bits", "q", "distance", F.col("id").alias("neighbor_id"))
+    nearest = Window.partitionBy("bits", "q").orderBy("distance", "neighbor_id")
+    listed = listed.withColumn("_r", F.row_number().over(nearest)).where(F.col("_r") <= k + 1).drop("_r")
+    got = queries.select(F.col("id").alias("query_id"), "bits", F.col("code").alias("q")).join(listed, ["bits", "q"]).where("query_id <> neighbor_id")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "neighbor_id"))
-    return got.select("query_id", rank.alias("rank"), "neighbor_id", "distance").where(F.col("rank") <= k)
+    return got.select("query_id", rank.alias("rank"), "neighbor_id", F.col("distance").cast("int").alias("distance")).where(F.col("rank") <= k)
 
 
 def op9_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:

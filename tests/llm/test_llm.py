@@ -358,20 +358,50 @@ def test_attention_scores(docs):
         assert any(r.base_score == pytest.approx(want) and r.n_tokens == len(lower(t)) and r.n_known == sum(c[w] > 0 for w in lower(t)) and r.train_tokens == n and r.score < 0 for r in got[i])
 
 
+def nearest(vectors, q, k):
+    """(distance, id) of the k nearest vectors of q's length, by sign."""
+    near = [(sum((x > 0) != (y > 0) for x, y in zip(vectors[q], v, strict=True)), i) for i, v in vectors.items() if i != q and len(v) == len(vectors[q])]
+    return sorted(near)[:k]
+
+
+def listed(found):
+    got = collections.defaultdict(list)
+    for x in found.orderBy("query_id", "rank").collect():
+        assert x["rank"] == len(got[x.query_id]) + 1
+        got[x.query_id].append((x.distance, x.neighbor_id))
+    return got
+
+
 def test_topk(spark):
     r = np.random.default_rng(2)
     base = r.standard_normal((40, 40))
-    vectors = [base[i % 40] * (r.random(40) > 0.05) for i in range(600)]
-    rows = [(i, v.tolist()) for i, v in enumerate(vectors)] + [(5, vectors[5].tolist()), (700, None), (None, vectors[0].tolist()), (800, [1.0]), (900, [])]
-    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    got = collections.defaultdict(list)
-    for x in topk_search.top_k(table, F.col("id") % 100 == 0, k=7, block=100).orderBy("query_id", "rank").collect():
-        got[x.query_id].append((x.distance, x.neighbor_id))
-    bits = np.array(vectors) > 0
-    for q in range(0, 600, 100):
-        want = sorted((int((bits[q] != bits[j]).sum()), j) for j in range(600) if j != q)[:7]
-        assert got[q] == want
-    assert 700 not in got and 800 not in got
+    vectors = {i: (base[i % 40] * (r.random(40) > 0.05)).tolist() for i in range(600)}
+    vectors |= {700 + i: r.standard_normal(45).tolist() for i in range(9)}  # another length, fewer than k
+    vectors |= {800: [1.0], 900: [], 1000: vectors[0], 1001: vectors[0], 1100: r.standard_normal(130).tolist(), 1101: r.standard_normal(130).tolist()}
+    rows = [*vectors.items(), (5, vectors[5]), (1200, None), (None, vectors[0])]
+    table = spark.createDataFrame([(*x, "x", 1) for x in rows], "vec_id long, embedding array<double>, code string, bits int")
+    trace = topk_search.Trace([], [])
+    got = listed(topk_search.top_k(table, F.col("id") % 100 == 0, k=7, piece=8, trace=trace))
+    for q in (i for i in vectors if i % 100 == 0):
+        assert got[q] == nearest(vectors, q, 7), q
+    assert 1200 not in got and not got[800] and not got[900]
+
+
+def test_topk_looks_at_few_codes(spark):
+    """No query looks through the table: the candidates of all rounds are a small part of all pairs."""
+    r = np.random.default_rng(4)
+    near = r.standard_normal((30, 64))
+    vectors = {i: (near[i % 30] + 0.3 * r.standard_normal(64)).tolist() for i in range(3000)}
+    trace = topk_search.Trace([], [])
+    got = listed(topk_search.top_k(spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>"), F.col("id") % 100 == 0, k=5, trace=trace))
+    assert all(got[q] == nearest(vectors, q, 5) for q in range(0, 3000, 100))
+    assert sum(trace.candidates) < 0.15 * 30 * 3000, trace
+
+
+def test_topk_binary_codes(spark):
+    rows = [(1, [1.0, -1.0, 0.0, float("nan"), None, 2.0]), (2, [0.5] * 70), (3, []), (4, None)]
+    got = {r.id: (r.bits, list(r.code)) for r in topk_search.binary_codes(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding").collect()}
+    assert got == {1: (6, [0b100001]), 2: (70, [-1, 63]), 3: (0, [])}
 
 
 def test_pipeline(spark, docs, tmp_path):
