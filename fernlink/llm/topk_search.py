@@ -4,11 +4,11 @@ A code's bits are the signs of the embedding's values. Codes of one length are c
 into segments of about log2(n) bits, n being the number of different codes, so a
 bucket (a segment and its value) holds about one code. Buckets are rows, found by
 equality: in round r, each query that is still open probes in every segment the
-values that differ from its own in r bits. Any code within distance m * (r + 1) - 1
-of a query agrees with it to r bits in one of the m segments, so after round r
-these are all verified, and a query ends when its kth verified distance is covered
-by that bound. No query looks through all codes; the radii can only grow to the
-segments' widths.
+values that differ from its own in r bits. A code that none of the first j segments
+shows to radius r, nor any of the m segments to radius r - 1, is at distance m * r + j
+at least. So a query whose kth verified distance is d probes the first d - m * r + 1
+segments in round r, and ends when there are none. No query looks through all
+codes; the radii can only grow to the segments' widths.
 
 All of it is DataFrame operations. A bucket with many codes is cut into pieces, and
 what probes it is repeated for each, so no task holds all of it. A candidate pair
@@ -75,7 +75,7 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id"
     members = common.staged(members, "members")
     distinct = members.groupBy(*same).agg(F.min("id").alias("tie"), F.count("*").alias("held"))
     sizes = distinct.groupBy("bits").agg(F.count("*").alias("n"))
-    many = F.greatest(F.round(F.col("bits") / F.greatest(F.log2("n"), F.lit(1.0))).cast("int"), F.lit(1))
+    many = F.greatest(F.ceil(F.col("bits") / F.greatest(F.log2("n"), F.lit(1.0))).cast("int"), F.lit(1))
     cut = distinct.join(sizes.select("bits", many.alias("m")), "bits").withColumn("segments", segments(F.col("m"))).drop("m")
     cut = common.staged(cut, "segments")
     # buckets, and the pieces of those with many codes
@@ -87,39 +87,38 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id"
     buckets = common.staged(buckets, "bucket-pieces")
     queries = coded.where(is_query)
     asked = queries.select(*same).distinct().join(cut.select("bits", F.col("code"), "segments"), [*same])
-    asked = common.staged(asked.select("bits", F.col("code").alias("q"), F.col("segments").alias("q_segments")), "asked")
-    if not asked.head(1):
+    asked = asked.select("bits", F.col("code").alias("q"), F.col("segments").alias("q_segments"), F.col("bits").alias("kth"))
+    open_ = common.staged(asked, "open-0")  # kth: a distance within which k others are known
+    if not open_.head(1):
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, neighbor_id long, distance int")
-    start = asked.select("bits", "q", F.posexplode("q_segments").alias("s", "_v")).select("bits", "q", "s", F.col("_v.width").alias("width"), F.col("_v.value").alias("value"), F.lit(-1).alias("top"))
-    frontier = common.staged(start, "probes-0")
-    open_, found, radius = asked, None, 0
+    start = open_.select("bits", "q", F.posexplode("q_segments").alias("s", "_v")).select("bits", "q", "s", F.col("_v.width").alias("width"), F.col("_v.value").alias("value"), F.lit(-1).alias("top"))
+    frontier, found, radius = common.staged(start, "probes-0"), None, 0
     while True:
-        hit = frontier.join(buckets, [*bucket]).withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-        hit = hit.select(*bucket, "piece", "q").join(asked, ["bits", "q"])
+        hit = frontier.select(*bucket, "q").join(buckets, [*bucket]).withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+        hit = hit.select(*bucket, "piece", "q").join(open_, ["bits", "q"])
         apart = F.zip_with("segments", "q_segments", lambda a, b: F.bit_count(a["value"].bitwiseXOR(b["value"])))
-        pairs = hit.join(index, [*bucket, "piece"]).withColumn("apart", apart)
-        new = pairs.where((F.array_min("apart") == radius) & (F.array_position("apart", F.lit(radius)) == F.col("s") + 1))
-        distance = F.aggregate("apart", F.lit(0), lambda a, x: a + x)
-        seen = new.select("bits", "q", "code", "tie", "held", distance.alias("distance"))
+        distance = F.aggregate(F.zip_with("code", "q", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, x: a + x)
+        pairs = hit.join(index, [*bucket, "piece"])
         if trace is not None:
             trace.probes.append(frontier.count())
             trace.candidates.append(pairs.count())
+        new = pairs.where(distance <= F.col("kth")).where((F.array_min(apart) == radius) & (F.array_position(apart, F.lit(radius)) == F.col("s") + 1))
+        seen = new.select("bits", "q", "code", "tie", "held", distance.alias("distance"))
         order = Window.partitionBy("bits", "q").orderBy("distance", "tie")
         best = seen if found is None else found.unionByName(seen)
         found = common.staged(best.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= k + 1).drop("_r"), f"found-{radius}")
-        # a query ends when k others are known to be within the bound of the round
         reach = Window.partitionBy("bits", "q").orderBy("distance").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-        covered = found.withColumn("upto", F.sum("held").over(reach)).where(F.col("upto") >= k + 1).groupBy("bits", "q").agg(F.min("distance").alias("kth"))
-        done = covered.join(asked, ["bits", "q"]).where(F.col("kth") <= F.size("q_segments") * (radius + 1) - 1).select("bits", "q")
-        open_ = open_.join(done, ["bits", "q"], "left_anti")
-        grown = frontier.join(open_.select("bits", "q"), ["bits", "q"], "left_semi").where(F.col("top") + 1 < F.col("width"))
+        covered = found.withColumn("upto", F.sum("held").over(reach)).where(F.col("upto") >= k + 1).groupBy("bits", "q").agg(F.min("distance").alias("now"))
+        radius += 1
+        now = open_.join(covered, ["bits", "q"], "left").withColumn("kth", F.least("kth", "now")).drop("now")
+        open_ = common.staged(now.where(F.col("kth") >= F.size("q_segments") * radius), f"open-{radius}")
+        grown = frontier.join(open_.select("bits", "q", (F.col("kth") - F.size("q_segments") * radius).alias("last")), ["bits", "q"])
+        grown = grown.where((F.col("s") <= F.col("last")) & (F.col("top") + 1 < F.col("width")))
         grown = grown.withColumn("bit", F.explode(F.sequence(F.col("top") + 1, F.col("width") - 1)))
         flipped = F.col("value").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit")))
-        radius += 1
         frontier = common.staged(grown.select("bits", "q", "s", "width", flipped.alias("value"), F.col("bit").alias("top")), f"probes-{radius}")
         if not frontier.head(1):
             break
-        open_ = common.staged(open_, f"open-{radius}")
     near = found.select("bits", "q", "code", "distance")
     listed = near.join(members, [*same]).select("bits", "q", "distance", F.col("id").alias("neighbor_id"))
     nearest = Window.partitionBy("bits", "q").orderBy("distance", "neighbor_id")
