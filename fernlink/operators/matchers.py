@@ -6,6 +6,7 @@ candidates. Hits have one row for each key that matched.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -76,39 +77,66 @@ def exact_match_with_supplier_filter(ref: DataFrame, rows: DataFrame, ref_text:
     return apply_hits(rows, first, {row_text: "key", row_supplier: "supplier"}, row_label, "device_level", f"exact_match_supplier_and_{ref_text}", overwrite=True)
 
 
+def _code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """A row of code points for each text, filled up with zeros, and the lengths."""
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    wide = max(int(lengths.max(initial=0)), 1)
+    out = np.zeros((len(texts), wide), np.uint32)
+    out[np.arange(wide) < lengths[:, None]] = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
+    return out, lengths
+
+
+def _similarities(left: list[str], right: list[str]) -> np.ndarray:
+    """Textbook Jaro-Winkler similarities of pairs: all pairs take the steps over the left text's characters together."""
+    a, n = _code_points(left)
+    b, k = _code_points(right)
+    rows, at = np.arange(len(a)), np.arange(b.shape[1])
+    reach = np.maximum(np.maximum(n, k) // 2 - 1, 0)
+    free = at < k[:, None]
+    hit = np.zeros(a.shape, bool)
+    for i in range(a.shape[1]):
+        fits = free & (b == a[:, i, None]) & (np.abs(at - i) <= reach[:, None]) & (i < n)[:, None]
+        first = fits.argmax(1)
+        hit[:, i] = fits[rows, first]
+        free[rows[hit[:, i]], first[hit[:, i]]] = False
+    taken = ~free & (at < k[:, None])
+    m = hit.sum(1)
+    swaps = np.bincount(np.nonzero(hit)[0], a[hit] != b[taken], len(a)) / 2
+    prefix = min(4, a.shape[1], b.shape[1])
+    same = (a[:, :prefix] == b[:, :prefix]) & (np.arange(prefix) < np.minimum(n, k)[:, None])
+    with np.errstate(divide="ignore", invalid="ignore"):
+        jaro = np.where(m > 0, (m / n + m / k + (m - swaps) / m) / 3, 0.0)
+    return jaro + 0.1 * np.logical_and.accumulate(same, 1).sum(1) * (1 - jaro)
+
+
+def jaro_winkler_all(left: list[str], right: list[str], cells: int = 2_000_000) -> np.ndarray:
+    """Textbook Jaro-Winkler similarity of each pair: common prefix of four at most, weight 0.1; 0 if a text is empty.
+
+    Pairs go by their lengths in slices of a bounded number of characters.
+    """
+    out = np.zeros(len(left))
+    size = np.fromiter((max(len(x), len(y)) for x, y in zip(left, right, strict=True)), np.int64, len(left))
+    order = np.argsort(size, kind="stable")
+    at = 0
+    while at < len(order):
+        end = at + 1
+        while end < len(order) and (end + 1 - at) * size[order[end]] <= cells and size[order[end]] <= 2 * size[order[at]] + 8:
+            end += 1
+        some = order[at:end]
+        out[some] = _similarities([left[i] for i in some], [right[i] for i in some])
+        at = end
+    return out
+
+
 def jaro_winkler(a: str, b: str) -> float:
-    """Textbook similarity: common prefix of four at most, weight 0.1; 0 if a text is empty."""
-    if not a or not b:
-        return 0.0
-    if a == b:
-        return 1.0
-    reach = max(len(a), len(b)) // 2 - 1
-    used = [False] * len(b)
-    left = []
-    for i, x in enumerate(a):
-        for j in range(max(0, i - reach), min(len(b), i + reach + 1)):
-            if not used[j] and b[j] == x:
-                used[j] = True
-                left.append(x)
-                break
-    m = len(left)
-    if not m:
-        return 0.0
-    swaps = sum(x != y for x, y in zip(left, (y for y, u in zip(b, used, strict=True) if u), strict=True)) / 2
-    jaro = (m / len(a) + m / len(b) + (m - swaps) / m) / 3
-    prefix = 0
-    for x, y in zip(a[:4], b[:4], strict=False):
-        if x != y:
-            break
-        prefix += 1
-    return jaro + 0.1 * prefix * (1 - jaro)
+    return float(jaro_winkler_all([a], [b])[0])
 
 
 @pandas_udf(DoubleType())
 def _jaro_winkler(a, b):
     import pandas as pd
 
-    return pd.Series([jaro_winkler(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+    return pd.Series(jaro_winkler_all(a.tolist(), b.tolist()))
 
 
 def _marked(c: Column) -> Column:
@@ -117,30 +145,65 @@ def _marked(c: Column) -> Column:
     return F.transform(chars, lambda x, i: F.concat(x, F.size(F.filter(F.slice(chars, 1, i + 1), lambda y: y == x)).cast("string")))
 
 
-def jaro_winkler_hits(keys: DataFrame, key: str, ref: DataFrame, text: str, label: str, order: str, threshold: float = 0.86, decimals: int | None = None) -> DataFrame:
-    """key, label and score of the most similar reference text, if it reaches the threshold; the first of equals.
+def jaro_winkler_candidates(probe: DataFrame, refs: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of probe (key) and refs (text, label, ord) that may reach the threshold, each once; none that does is missing.
 
-    A pair can only reach the threshold if enough of both texts' characters are
-    common; pairs meet at a shared character among the first few of each text in one
-    fixed order, so no pair that counts is missed and no cross product is made.
+    A pair whose first p characters agree (four at most) needs a Jaro similarity of
+    (threshold - p / 10) / (1 - p / 10), so with lengths a and b at least
+    (3 jaro - 1) a b / (a + b) common characters. Pairs with p of 3 or 4 meet at these
+    characters. The others meet at them, both lengths and the two least common of
+    their shared marks (a character and its count so far), which are among the first
+    few marks of either text by rarity. All marks are then compared.
     """
+    texts = probe.select(F.col("key").alias("text")).unionByName(refs.select("text")).distinct()
+    marks = texts.select("text", F.explode(_marked(F.col("text"))).alias("mark"))
+    often = marks.groupBy("mark").agg(F.count("*").alias("n"))
+    ranked = marks.join(often, "mark").groupBy("text").agg(F.array_sort(F.collect_list(F.struct("n", "mark"))).getField("mark").alias("marks"))
+    left = probe.join(ranked.withColumnRenamed("text", "key"), "key").select("key", F.col("marks").alias("key_marks"), F.size("marks").alias("a"))
+    right = refs.join(ranked, "text").select("text", "label", "ord", F.col("marks").alias("text_marks"), F.size("marks").alias("b"))
+    longest = {"a": left.agg(F.max("a")).first()[0] or 0, "b": right.agg(F.max("b")).first()[0] or 0}
+    needs = [3 * (threshold - 0.1 * p) / (1 - 0.1 * p) - 1 for p in range(5)]
+    common = lambda p: F.greatest(F.ceil(F.lit(needs[p]) * F.col("a") * F.col("b") / (F.col("a") + F.col("b")) - F.lit(1e-9)).cast("int"), F.lit(1))
+
+    def met(side: DataFrame, text: str, own: str, other: str, p: int) -> DataFrame:
+        """The side's rows with each length of the other text and each pair of marks (one, if one must be common) at which they can meet."""
+        share = needs[p] - 1
+        lo, hi = (F.ceil(F.col(own) * share - 1e-9), F.floor(F.col(own) / share + 1e-9)) if share > 0 else (F.lit(1), F.lit(longest[other]))
+        lo, hi = F.greatest(lo.cast("int"), F.lit(1)), F.least(hi.cast("int"), F.lit(longest[other]))
+        rows = side.where(hi >= lo).withColumn(other, F.explode(F.sequence(lo, hi))).withColumn("o", common(p)).where("o <= least(a, b)")
+        first = F.slice(f"{text}_marks", F.lit(1), F.least(F.col(own), F.col(own) - F.col("o") + F.when(F.col("o") > 1, 2).otherwise(1)))
+        pairs = F.flatten(F.transform(first, lambda x, i: F.transform(F.slice(first, i + 2, F.size(first)), lambda y: F.concat_ws(" ", x, y))))
+        rows = rows.withColumn(f"{text}_first", first).withColumn("at", F.explode(F.when(F.col("o") > 1, pairs).otherwise(first)))
+        return rows.withColumn("head", F.substring(text, 1, p)).where(F.length("head") == p)
+
+    def headed(side: DataFrame, text: str, p: int) -> DataFrame:
+        return side.withColumn("head", F.substring(text, 1, p)).where(F.length("head") == p).withColumn("p", F.lit(p))
+
+    def each(ps: tuple[int, ...], make) -> DataFrame:
+        first, *rest = (make(p).withColumn("p", F.lit(p)) for p in ps)
+        for x in rest:
+            first = first.unionByName(x)
+        return first
+
+    short = each((0, 1, 2), lambda p: met(left, "key", "a", "b", p))
+    short = short.join(each((0, 1, 2), lambda p: met(right, "text", "b", "a", p).drop("o")), ["p", "head", "a", "b", "at"])
+    shared = F.array_intersect("key_first", "text_first")
+    owner = F.when(F.col("o") > 1, F.concat_ws(" ", F.slice(shared, 1, 2))).otherwise(F.get(shared, F.lit(0)))
+    short = short.where(F.col("at") == owner)
+    long_ = each((3, 4), lambda p: headed(left, "key", p)).join(each((3, 4), lambda p: headed(right, "text", p)), ["p", "head"])
+    long_ = long_.withColumn("o", F.when(F.col("p") == 3, common(3)).otherwise(common(4))).where("o <= least(a, b)")
+    wanted = ("key", "text", "label", "ord", "p", "o", "key_marks", "text_marks")
+    agree = sum((F.when((F.substring("key", 1, n) == F.substring("text", 1, n)) & (F.least(F.length("key"), F.length("text")) >= n), 1).otherwise(0) for n in range(1, 5)), F.lit(0))
+    every = short.select(*wanted).unionByName(long_.select(*wanted)).where(agree == F.col("p"))
+    return every.where(F.size(F.array_intersect("key_marks", "text_marks")) >= F.col("o")).select("key", "text", "label", "ord")
+
+
+def jaro_winkler_hits(keys: DataFrame, key: str, ref: DataFrame, text: str, label: str, order: str, threshold: float = 0.86, decimals: int | None = None) -> DataFrame:
+    """key, label and score of the most similar reference text, if it reaches the threshold; the first of equals."""
     refs = keep_first(ref, text, label, order).where("text <> ''")
     probe = keys.select(F.col(key).alias("key")).where("key is not null and key <> ''").distinct()
     slack = 0.0 if decimals is None else 0.5 * 10**-decimals
-    least_jaro = (threshold - slack - 0.4) / 0.6  # with a full prefix
-    share = max(3 * least_jaro - 2, 0.0)  # of each text's characters in common: both shares sum to 3 jaro - 1, and neither is over 1
-
-    def prefix(c: str) -> Column:
-        marks = F.array_sort(_marked(F.col(c)))
-        keep = F.size(marks) - F.ceil(F.size(marks) * F.lit(share) - F.lit(1e-9)).cast("int") + 1
-        return F.explode(F.slice(marks, 1, F.least(F.greatest(keep, F.lit(1)), F.size(marks))))
-
-    pairs = probe.withColumn("mark", prefix("key")).join(refs.withColumn("mark", prefix("text")), "mark").select("key", "text", "label", "ord").distinct()
-    short, long_ = F.least(F.length("key"), F.length("text")), F.greatest(F.length("key"), F.length("text"))
-    most = (F.lit(2.0) + short / long_) / 3
-    same = sum((F.when(F.substring("key", 1, n) == F.substring("text", 1, n), 1).otherwise(0) for n in range(1, 5)), F.lit(0))
-    bound = most + 0.1 * same * (1 - most)
-    scored = pairs.where(bound >= threshold - slack - 1e-9).withColumn("score", _jaro_winkler("key", "text"))
+    scored = jaro_winkler_candidates(probe, refs, threshold - slack).withColumn("score", _jaro_winkler("key", "text"))
     if decimals is not None:
         scored = scored.withColumn("score", F.round("score", decimals))
     best = scored.where(F.col("score") >= threshold).groupBy("key").agg(F.max_by(F.struct("label", "score"), F.struct("score", -F.col("ord"))).alias("b"))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -50,15 +51,59 @@ def test_jaro_winkler(spark):
     assert labels(matchers.jaro_winkler_match(rows, more, "label", "name", "text", "l", "ord"), "id")[0] == 1
 
 
-def test_jaro_winkler_meets_all_pairs(spark):
-    import random
-
+def plain_jaro_winkler(a, b):
+    """The definition, a character at a time."""
+    if not a or not b:
+        return 0.0
+    reach = max(max(len(a), len(b)) // 2 - 1, 0)
+    free, left = [True] * len(b), []
+    for i, x in enumerate(a):
+        j = next((j for j in range(max(0, i - reach), min(len(b), i + reach + 1)) if free[j] and b[j] == x), None)
+        if j is not None:
+            free[j] = False
+            left.append(x)
+    if not left:
+        return 0.0
+    m, right = len(left), [y for y, f in zip(b, free, strict=True) if not f]
+    jaro = (m / len(a) + m / len(b) + (m - sum(x != y for x, y in zip(left, right, strict=True)) / 2) / m) / 3
+    prefix = next((i for i, (x, y) in enumerate(zip(a[:4], b[:4], strict=False)) if x != y), min(len(a), len(b), 4))
+    return jaro + 0.1 * prefix * (1 - jaro)
+
+
+def made_up_names(n, seed, parts=("al", "be", "cor", "dex", "el", "fin", "gra", "hu", "ix", "jo", "kan", "lum", "med", "nor", "ox", "pra", "qui", "ros", "sun", "tek", "ul", "vor", "wes", "yl", "zen")):
+    r = random.Random(seed)
+    return sorted({" ".join("".join(r.choice(parts) for _ in range(r.randint(1, 3))) for _ in range(r.randint(1, 3))) for _ in range(n)})
+
+
+def test_jaro_winkler_scores():
+    r = random.Random(5)
+    pairs = [("".join(r.choice("abcé🙂 ") for _ in range(r.choice([0, 1, 2, 5, 9, 40]))), "".join(r.choice("abcé🙂 ") for _ in range(r.choice([0, 1, 3, 6, 9, 30])))) for _ in range(800)]
+    pairs += [("polar", "polaris"), ("martha", "marhta"), ("a", "a"), ("ab", "ba"), ("x" * 500, "x" * 499 + "y")]
+    got = matchers.jaro_winkler_all([a for a, _ in pairs], [b for _, b in pairs], cells=300)
+    assert got.tolist() == pytest.approx([plain_jaro_winkler(a, b) for a, b in pairs])
+
+
+@pytest.mark.parametrize(("alphabet", "threshold"), [("abcd", 0.86), ("abcd", 0.7), ("ab", 0.95), ("abcdefghijklmnop", 0.5)])
+def test_jaro_winkler_meets_all_pairs(spark, alphabet, threshold):
     r = random.Random(3)
-    words = sorted({"".join(r.choice("abcd") for _ in range(r.randint(2, 9))) for _ in range(120)})
+    words = sorted({"".join(r.choice(alphabet) for _ in range(r.randint(1, 9))) for _ in range(120)})
     ref = spark.createDataFrame([(i, w, i) for i, w in enumerate(words[::2])], "ord int, text string, l long")
-    got = labels(matchers.jaro_winkler_hits(spark.createDataFrame([(w,) for w in words], "k string"), "k", ref, "text", "l", "ord", 0.86), "key", "score")
-    want = {w: max(matchers.jaro_winkler(w, x) for x in words[::2]) for w in words}
-    assert got == pytest.approx({w: s for w, s in want.items() if s >= 0.86})
+    got = labels(matchers.jaro_winkler_hits(spark.createDataFrame([(w,) for w in words], "k string"), "k", ref, "text", "l", "ord", threshold), "key", "score")
+    want = {w: max(plain_jaro_winkler(w, x) for x in words[::2]) for w in words}
+    assert got == pytest.approx({w: s for w, s in want.items() if s >= threshold})
+
+
+def test_jaro_winkler_candidates_are_few_and_once(spark):
+    names = made_up_names(900, 1)
+    typos = [n.replace("or", "ro").replace("e", "", 1) for n in names[::3]]
+    probe = spark.createDataFrame([(n,) for n in sorted({*typos, *made_up_names(600, 2)})], "key string")
+    refs = spark.createDataFrame([(n, i, i) for i, n in enumerate(names)], "text string, label long, ord int")
+    got = [(r.key, r.text) for r in matchers.jaro_winkler_candidates(probe, refs, 0.9).select("key", "text").collect()]
+    assert len(got) == len(set(got)) and len(got) < 0.02 * probe.count() * len(names)
+    keys = [r.key for r in probe.collect()]
+    left, right = [k for k in keys for _ in names], names * len(keys)
+    scores = matchers.jaro_winkler_all(left, right)
+    assert {(a, b) for a, b, s in zip(left, right, scores, strict=True) if s >= 0.9} <= set(got)
 
 
 def test_token_overlap(spark):
