@@ -13,6 +13,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
 from fernlink.functions.text import as_text
+from fernlink.sources.tables import written
 
 
 def require(df: DataFrame, *columns: str) -> None:
@@ -159,17 +160,18 @@ def jaro_winkler_candidates(probe: DataFrame, refs: DataFrame, threshold: float)
     marks = texts.select("text", F.explode(_marked(F.col("text"))).alias("mark"))
     often = marks.groupBy("mark").agg(F.count("*").alias("n"))
     ranked = marks.join(often, "mark").groupBy("text").agg(F.array_sort(F.collect_list(F.struct("n", "mark"))).getField("mark").alias("marks"))
+    ranked = written(ranked, "marks")
     left = probe.join(ranked.withColumnRenamed("text", "key"), "key").select("key", F.col("marks").alias("key_marks"), F.size("marks").alias("a"))
     right = refs.join(ranked, "text").select("text", "label", "ord", F.col("marks").alias("text_marks"), F.size("marks").alias("b"))
-    longest = {"a": left.agg(F.max("a")).first()[0] or 0, "b": right.agg(F.max("b")).first()[0] or 0}
+    most = ranked.agg(F.coalesce(F.max(F.size("marks")), F.lit(0))).first()[0]
     needs = [3 * (threshold - 0.1 * p) / (1 - 0.1 * p) - 1 for p in range(5)]
     common = lambda p: F.greatest(F.ceil(F.lit(needs[p]) * F.col("a") * F.col("b") / (F.col("a") + F.col("b")) - F.lit(1e-9)).cast("int"), F.lit(1))
 
     def met(side: DataFrame, text: str, own: str, other: str, p: int) -> DataFrame:
         """The side's rows with each length of the other text and each pair of marks (one, if one must be common) at which they can meet."""
         share = needs[p] - 1
-        lo, hi = (F.ceil(F.col(own) * share - 1e-9), F.floor(F.col(own) / share + 1e-9)) if share > 0 else (F.lit(1), F.lit(longest[other]))
-        lo, hi = F.greatest(lo.cast("int"), F.lit(1)), F.least(hi.cast("int"), F.lit(longest[other]))
+        lo, hi = (F.ceil(F.col(own) * share - 1e-9), F.floor(F.col(own) / share + 1e-9)) if share > 0 else (F.lit(1), F.lit(most))
+        lo, hi = F.greatest(lo.cast("int"), F.lit(1)), F.least(hi.cast("int"), F.lit(most))
         rows = side.where(hi >= lo).withColumn(other, F.explode(F.sequence(lo, hi))).withColumn("o", common(p)).where("o <= least(a, b)")
         first = F.slice(f"{text}_marks", F.lit(1), F.least(F.col(own), F.col(own) - F.col("o") + F.when(F.col("o") > 1, 2).otherwise(1)))
         pairs = F.flatten(F.transform(first, lambda x, i: F.transform(F.slice(first, i + 2, F.size(first)), lambda y: F.concat_ws(" ", x, y))))

@@ -56,32 +56,38 @@ def bag_of_words_supplier_matching(rows: DataFrame, ref: DataFrame, label: str,
 def device_hits(probe: DataFrame, catalogue: DataFrame, text: str, threshold: float, supplier: str = "Supplier", npc: str = "NPC", order: str = "ref_ord") -> DataFrame:
     """For probe rows (text, supplier, n): best_similarity, best_match_devices, n_best_matches, and label if the best is unique.
 
-    Candidates are the catalogue rows of the same supplier; all rows where the supplier
-    is null or not in the catalogue. The devices are the codes of all catalogue rows
-    that share the best similarity, in the catalogue's order.
+    Candidates are the catalogue rows of the same supplier, which is part of the join
+    key; all rows where the supplier is null or not in the catalogue. Without a common
+    term the similarity is 0. The devices are the codes of all catalogue rows that
+    share the best similarity, in the catalogue's order. An empty catalogue has no hits.
     """
     refs = catalogue.select(F.coalesce(text, F.lit("")).alias("ref_text"), F.col(supplier).alias("supplier"), F.col(npc).alias("npc"), F.col(order).alias("ord"))
     texts = probe.select(F.coalesce("text", F.lit("")).alias("text"), "n")
     corpus = texts.unionByName(refs.groupBy(F.col("ref_text").alias("text")).agg(F.count("*").alias("n")))
     known = refs.where("supplier is not null").select("supplier").distinct().withColumn("known", F.lit(True))
     asked = probe.select(F.coalesce("text", F.lit("")).alias("key"), "supplier").distinct().join(known, "supplier", "left")
-    scored = similarities(texts, refs.withColumnRenamed("ref_text", "text"), corpus)
-    of_text = refs.groupBy("ref_text").agg(F.count("*").alias("c"))
+    left = vectors(texts, corpus).select(F.col("text").alias("key"), "term", F.col("weight").alias("wa"))
+    right = vectors(refs.withColumnRenamed("ref_text", "text"), corpus).select(F.col("text").alias("ref_text"), "term", F.col("weight").alias("wb"))
+    score = F.round(F.sum(F.col("wa") * F.col("wb")), 12).alias("score")
     of_supplier = refs.where("supplier is not null").groupBy("supplier", "ref_text").agg(F.count("*").alias("c"))
-    pairs = asked.join(scored, asked["key"] == scored["text"]).drop("text")
-    narrow = pairs.where("known").join(of_supplier, ["supplier", "ref_text"])
-    wide = pairs.where("known is null").join(of_text, "ref_text")
-    both = narrow.select("key", "supplier", "ref_text", "score", "c", "known").unionByName(wide.select("key", "supplier", "ref_text", "score", "c", "known"))
+    narrow = asked.where("known").join(left, "key").join(right.join(of_supplier, "ref_text"), ["supplier", "term"]).groupBy("key", "supplier", "ref_text", "c").agg(score)
+    of_text = refs.groupBy("ref_text").agg(F.count("*").alias("c"))
+    free = asked.where("known is null")
+    wide = free.select("key").distinct().join(left, "key").join(right, "term").groupBy("key", "ref_text").agg(score).join(of_text, "ref_text").join(free, "key")
+    columns = ("key", "supplier", "ref_text", "score", "c", "known")
+    both = narrow.withColumn("known", F.lit(True)).select(*columns).unionByName(wide.select(*columns))
     top = both.withColumn("best", F.max("score").over(Window.partitionBy("key", "supplier"))).where("score = best")
-    ok = F.col("best") > threshold
-    over = top.where(ok).select("key", "supplier", "ref_text", "known")  # only these name their devices
+    over = top.where(F.col("best") > threshold).select("key", "supplier", "ref_text", "known")  # only these name their devices
     members = over.where("known").join(refs, ["supplier", "ref_text"]).select("key", "supplier", "ord", "npc")
     members = members.unionByName(over.where("known is null").join(refs.drop("supplier"), "ref_text").select("key", "supplier", "ord", "npc"))
-    npcs = members.groupBy(F.col("key").alias("__k"), F.col("supplier").alias("__s")).agg(F.array_sort(F.collect_list(F.struct("ord", "npc"))).getField("npc").alias("npcs"))
-    best = top.groupBy("key", "supplier").agg(F.max("best").alias("best"), F.sum("c").alias("count"))
-    listed = best.join(npcs, (F.col("key") == F.col("__k")) & F.col("supplier").eqNullSafe(F.col("__s")), "left")
+    same = lambda x: [F.col("key") == F.col(f"__k{x}"), F.col("supplier").eqNullSafe(F.col(f"__s{x}"))]
+    npcs = members.groupBy(F.col("key").alias("__k1"), F.col("supplier").alias("__s1")).agg(F.array_sort(F.collect_list(F.struct("ord", "npc"))).getField("npc").alias("npcs"))
+    best = top.groupBy(F.col("key").alias("__k2"), F.col("supplier").alias("__s2")).agg(F.max("best").alias("best"), F.sum("c").alias("count"))
+    some = asked.join(refs.limit(1).select(F.lit(True).alias("__any")), F.lit(True))  # one row at most: nothing is asked of an empty catalogue
+    listed = some.join(best, same(2), "left").join(npcs, same(1), "left")
+    ok = F.coalesce(F.col("best") > threshold, F.lit(False))
     return listed.select(
-        F.col("key"), F.col("supplier"), F.col("best").alias("best_similarity"),
+        "key", "supplier", F.coalesce("best", F.lit(0.0)).alias("best_similarity"),
         F.when(ok, F.col("npcs")).otherwise(F.array().cast("array<string>")).alias("best_match_devices"),
         F.when(ok, F.col("count")).otherwise(F.lit(0)).cast("long").alias("n_best_matches"),
         F.when(ok & (F.col("count") == 1), F.get("npcs", F.lit(0))).alias("label"),

@@ -8,8 +8,6 @@ that are still open; these are written down before.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -17,6 +15,7 @@ from pyspark.sql import functions as F
 
 from fernlink.functions.text import DEVICE_STOP, MANUFACTURER_STOP, as_text, clean_tokens, token_list
 from fernlink.operators import codes, matchers, tfidf
+from fernlink.sources.tables import written
 
 
 @dataclass(frozen=True)
@@ -27,17 +26,6 @@ class Config:
     second_similarity: float = 0.3
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Write to the shared folder and read back, which cuts lineage; a temporary folder only where none is configured."""
-    spark = df.sparkSession
-    where = spark.conf.get("spark.checkpoint.dir", None) or getattr(spark, "_fernlink_cascade", None)
-    if where is None:
-        where = spark._fernlink_cascade = tempfile.mkdtemp(prefix="fernlink-")
-    path = f"{where.rstrip('/')}/cascade/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def manufacturer_reference(catalogue: DataFrame, order: str = "ref_ord") -> DataFrame:
     """Distinct (Supplier, Brand) with the order of their first row as label."""
     return catalogue.groupBy("Supplier", "Brand").agg(F.min(order).alias("catalogue_manufacturers_index"))

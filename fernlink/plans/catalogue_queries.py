@@ -268,12 +268,13 @@ select row_id, o as label from devices left join (select * from hit where k = 1)
 select key, first as label, round(score, 9) as score from best where k = 1 and score > 0.7""",
     "tfidf_blocked_unique": _WITH
     + f""", ref_rows as (select lower(concat_ws(' ', secondary_description, base_description, substring(npc, 4, 4))) as text, supplier, npc, ref_ord from catalogue),
-  asked_rows as (select lower(concat_ws(' ', secondary_description, substring(npc, 4, 4))) as text, case when ref_ord % 2 = 0 then supplier end as supplier from catalogue where ref_ord % 7 = 0), {_VECTORS},
-  pairs as (select distinct s.key, a.supplier, s.ref_text, s.score from sims s join asked_rows a on a.text = s.key),
-  cand as (select p.key, p.supplier, p.score, r.npc, r.text from pairs p join ref_rows r on r.text = p.ref_text and (p.supplier is null or p.supplier = r.supplier)),
-  top as (select *, max(score) over (partition by key, supplier) as best from cand), got as (select key, supplier, best, text, count(*) as c, min(npc) as npc from top where score = best group by key, supplier, best, text)
-select key, supplier, round(best, 9) as best_similarity, cast(case when best > 0.3 then sum(c) else 0 end as bigint) as n_best_matches, case when best > 0.3 and sum(c) = 1 then min(npc) end as label,
-  case when best > 0.3 then string_agg(npc, ',' order by npc) else '' end as devices from got group by key, supplier, best""",
+  asked_rows as (select lower(concat_ws(' ', secondary_description, substring(npc, 4, 4))) as text, case when ref_ord % 2 = 0 then supplier end as supplier from catalogue), {_VECTORS},
+  asked as (select distinct text as key, supplier from asked_rows),
+  cand as (select a.key, a.supplier, s.score, r.npc, r.ref_ord from asked a join sims s using (key) join ref_rows r on r.text = s.ref_text and (a.supplier is null or a.supplier = r.supplier)),
+  top as (select *, max(score) over (partition by key, supplier) as best from cand),
+  got as (select key, supplier, best, count(*) as c, min(npc) as npc, string_agg(npc, ',' order by ref_ord) as devices from top where score = best group by key, supplier, best)
+select a.key, a.supplier, round(coalesce(best, 0), 9) as best_similarity, cast(case when best > 0.3 then c else 0 end as bigint) as n_best_matches, case when best > 0.3 and c = 1 then npc end as label,
+  case when best > 0.3 then devices else '' end as devices from asked a left join got g on a.key = g.key and a.supplier is not distinct from g.supplier""",
     "code_npc": _CODE_SQL + "select key, label from r where kind = 'npc'",
     "code_mpc": _CODE_SQL + "select key, label from r where kind = 'mpc'",
     "code_ean": _CODE_SQL + "select key, label from r where kind = 'ean'",

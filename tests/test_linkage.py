@@ -142,7 +142,8 @@ def test_term_vectors(spark):
     out = tfidf.bag_of_words_matching(cat, rows, "t", "t", 0.3)
     assert labels(out, "id", "matched_device") == {0: "N2", 1: None, 2: None, 3: "N2", 4: "kept"}
     assert labels(out, "id", "n_best_matches")[1] == 2
-    assert all(r.best_similarity is None or 0 <= r.best_similarity <= 1 for r in out.collect())
+    assert labels(out, "id", "best_similarity")[2] == 0 and labels(out, "id", "n_best_matches")[2] == 0  # no common term with the supplier's rows
+    assert labels(out, "id", "best_similarity")[4] is None and all(0 <= r.best_similarity <= 1 for r in out.where("id < 4").collect())
     same = tfidf.bag_of_words_matching(cat.limit(0), rows, "t", "t", 0.3)
     assert labels(same, "id", "matched_device") == {0: None, 1: None, 2: None, 3: None, 4: "kept"}
 
