@@ -97,11 +97,11 @@ def device_hits(probe: DataFrame, catalogue: DataFrame, text: str, threshold: fl
 def bag_of_words_matching(catalogue: DataFrame, rows: DataFrame, catalogue_text: str, text: str, threshold: float = 0.7, label: str = "matched_device", supplier: str = "Supplier", order: str = "ref_ord") -> DataFrame:
     """Unique best by similarity; an empty catalogue leaves the rows as they are, with a null similarity.
 
-    ``best_match_devices`` names the product code of every catalogue row that ties for the best.
+    ``best_match_devices`` names the product code of every catalogue row that ties for
+    the best. Rows that have a label keep what an earlier call found for them.
     """
     require(rows, label, text, supplier)
     extra = ("best_similarity", "n_best_matches", "best_match_devices")
-    rows = rows.drop(*extra)
     probe = rows.where(F.col(label).isNull()).groupBy(F.col(text).alias("text"), F.col(supplier).alias("supplier")).agg(F.count("*").alias("n"))
     hits = device_hits(probe, catalogue, catalogue_text, threshold, supplier, order=order)
     keyed = rows.withColumn("__text", F.coalesce(text, F.lit("")))

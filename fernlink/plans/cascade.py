@@ -1,13 +1,14 @@
 """The two cascades: ordered matchers, each for the rows that have no label yet.
 
 All matchers but the term vectors depend on a row's key and the reference alone,
-so they run on distinct keys; the first hit in the order of steps counts, and a
-single plan takes the place of a loop over the rows. Term vectors weigh the rows
-that are still open; these are written down before.
+so they run on distinct keys; the first hit in the order of steps counts. Keys are
+written down between groups of steps, cheap steps first, so the dear ones see only
+keys that are still open. Term vectors weigh the rows that are still open.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -18,6 +19,9 @@ from fernlink.operators import codes, matchers, tfidf
 from fernlink.sources.tables import written
 
 
+Progress = Callable[[str, int, int], None]
+
+
 @dataclass(frozen=True)
 class Config:
     jw_threshold: float = 0.9
@@ -44,11 +48,12 @@ def _first_hits(keys: DataFrame, steps: list[tuple[str, str, DataFrame]]) -> Dat
     return out.withColumns({"label": label, "level": level}).drop(*(f"__l{i}" for i in range(len(steps))))
 
 
-def manufacturer_cascade(devices: DataFrame, catalogue: DataFrame, missing: DataFrame, config: Config = Config(), row_id: str = "index", order: str = "ref_ord") -> DataFrame:
+def manufacturer_cascade(devices: DataFrame, catalogue: DataFrame, missing: DataFrame, config: Config = Config(), order: str = "ref_ord", log: Progress | None = None) -> DataFrame:
     """Devices with tokens, Manufacturer_label, level and Supplier_score.
 
     Labels: -99 for no manufacturer, -1 for one that is known to be missing, else the
-    catalogue's index.
+    catalogue's index. ``log`` is told the levels, all rows and the open rows after
+    each group of steps.
     """
     ref = manufacturer_reference(catalogue, order)
     idx = "catalogue_manufacturers_index"
@@ -61,31 +66,48 @@ def manufacturer_cascade(devices: DataFrame, catalogue: DataFrame, missing: Data
     blank = F.col("tokens") == ""
     keys = keys.withColumn("list", token_list(F.col("tokens"))).withColumn("label", F.when(blank, F.lit(-99)).cast("long")).withColumn("level", F.when(blank, F.lit("null_level")))
     keys = written(keys, "keys")
-    open_ = keys.where("label is null")
-
-    def group(r: DataFrame, name: str, substring: bool = False) -> list:
-        text = f"{name}_tokens"
-        out = [(f"exact_match_{text}", "tokens", matchers.exact_hits(r, text, idx, "o"))]
-        if substring:
-            out.append((f"substring_match_{text}", "tokens", matchers.substring_hits(open_, "tokens", r, text, idx, "o")))
-        out.append((f"jaro_winkler_match_{text}", "tokens", matchers.jaro_winkler_hits(open_, "tokens", r, text, idx, "o", config.jw_threshold)))
-        out.append((f"token_overlap_match_{text}_list", "list", matchers.token_overlap_hits(open_, "list", r, f"{text}_list", idx, "o", config.overlap_threshold)))
+
+    def settle(keys: DataFrame, steps: list) -> DataFrame:
+        """Keys after the steps, which see only those that are still open; steps: (level, key column, hits of the open keys)."""
+        free = keys.where("label is null")
+        out = written(_first_hits(keys, [(level, column, hits(free)) for level, column, hits in steps]), "keys")
+        if log is not None:
+            n, still = out.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.when(F.col("label").isNull(), F.col("n"))), F.lit(0))).first()
+            log(", ".join(level for level, *_ in steps), int(n), int(still))
         return out
 
-    phrase = lambda r, name: (f"catalogue_manufacturer_in_device_name_match_{name}_tokens", "name", matchers.phrase_hits(open_, "name", r, f"{name}_tokens", idx, "o"))
-    early = written(_first_hits(keys, [*group(absent, "Supplier_missing"), phrase(absent, "Supplier_missing"), *group(ref, "Supplier", substring=True)]), "early")
+    exact = lambda r, text: (f"exact_match_{text}", "tokens", lambda free: matchers.exact_hits(r, text, idx, "o"))
+    substring = lambda r, text: (f"substring_match_{text}", "tokens", lambda free: matchers.substring_hits(free, "tokens", r, text, idx, "o"))
+    similar = lambda r, text: (f"jaro_winkler_match_{text}", "tokens", lambda free: matchers.jaro_winkler_hits(free, "tokens", r, text, idx, "o", config.jw_threshold))
+    overlap = lambda r, text: (f"token_overlap_match_{text}_list", "list", lambda free: matchers.token_overlap_hits(free, "list", r, f"{text}_list", idx, "o", config.overlap_threshold))
+    phrase = lambda r, text: (f"catalogue_manufacturer_in_device_name_match_{text}", "name", lambda free: matchers.phrase_hits(free, "name", r, text, idx, "o"))
+    missing_text, supplier_text, brand_text = "Supplier_missing_tokens", "Supplier_tokens", "Brand_tokens"
+    keys = settle(keys, [exact(absent, missing_text)])
+    keys = settle(keys, [similar(absent, missing_text), overlap(absent, missing_text), phrase(absent, missing_text)])
+    keys = settle(keys, [exact(ref, supplier_text), substring(ref, supplier_text)])
+    early = settle(keys, [similar(ref, supplier_text), overlap(ref, supplier_text)])
     texts = early.where("label is null").groupBy(F.col("tokens").alias("text")).agg(F.sum("n").alias("n"))
-    vector = tfidf.supplier_hits(texts, ref, "Supplier_tokens", idx, "o")
+    vector = written(tfidf.supplier_hits(texts, ref, supplier_text, idx, "o"), "vectors")
     asked = early.where("label is null").select("tokens").distinct().join(vector.select(F.col("key").alias("tokens"), "score"), "tokens", "left").select("tokens", F.coalesce("score", F.lit(0.0)).alias("Supplier_score"))
-    late = _first_hits(early, [("bag_of_words_match_Supplier_tokens", "tokens", vector.where("label is not null")), phrase(ref, "Supplier"), *group(ref, "Brand"), phrase(ref, "Brand")])
+    keys = settle(early, [(f"bag_of_words_match_{supplier_text}", "tokens", lambda free: vector.where("label is not null"))])
+    keys = settle(keys, [phrase(ref, supplier_text), exact(ref, brand_text)])
+    late = settle(keys, [similar(ref, brand_text), overlap(ref, brand_text), phrase(ref, brand_text)])
     still = early.where("label is null").select("tokens", "name").join(asked, "tokens").withColumnsRenamed({"tokens": "__t", "name": "__n"})
     scored = late.join(still, F.col("tokens").eqNullSafe(F.col("__t")) & F.col("name").eqNullSafe(F.col("__n")), "left").drop("__t", "__n")
     found = scored.select(F.col("tokens").alias("__t"), F.col("name").alias("__n"), F.col("label").alias("Manufacturer_label"), "level", "Supplier_score")
     return rows.join(found, F.col("CLN_Manufacturer_tokens").eqNullSafe(F.col("__t")) & F.col("CLN_Manufacturer_Device_Name").eqNullSafe(F.col("__n")), "left").drop("__t", "__n")
 
 
-def device_cascade(labelled: DataFrame, catalogue: DataFrame, config: Config = Config(), order: str = "ref_ord") -> DataFrame:
-    """Rows of the first cascade with matched_device (a product code, or why there is none) and device_level."""
+def device_cascade(labelled: DataFrame, catalogue: DataFrame, config: Config = Config(), order: str = "ref_ord", log: Progress | None = None) -> DataFrame:
+    """Rows of the first cascade with matched_device (a product code, or why there is none) and device_level; ``log`` as there."""
+
+    def settled(rows: DataFrame, label: str) -> DataFrame:
+        out = written(rows, label)
+        if log is not None:
+            n, still = out.agg(F.count("*"), F.coalesce(F.sum(F.col("matched_device").isNull().cast("long")), F.lit(0))).first()
+            log(label, int(n), int(still))
+        return out
+
     ref = manufacturer_reference(catalogue, order).select(F.col("catalogue_manufacturers_index").alias("__i"), "Supplier", "Brand")
     rows = labelled.join(ref, F.col("Manufacturer_label") == F.col("__i"), "left").drop("__i")
     name = F.col("CLN_Manufacturer_Device_Name")
@@ -97,9 +119,9 @@ def device_cascade(labelled: DataFrame, catalogue: DataFrame, config: Config = C
     cat = catalogue.withColumns({"catalogue_device_name_and_manufacturer_tokens": tokens(joined("Supplier", "Base Description", "Secondary Description")), "catalogue_device_tokens": tokens(joined("Base Description", "Secondary Description")), "primary_description_tokens": tokens(F.col("`Base Description`")), "secondary_description_tokens": tokens(F.col("`Secondary Description`"))})
     rows = matchers.exact_match(cat, rows, "catalogue_device_name_and_manufacturer_tokens", "NPC", "device_name_and_manufacturer_tokens", "matched_device", order, device_match=True)
     for text in ("CLN_Device_Serial_Number", "CLN_Manufacturer_Device_Name"):
-        rows = written(codes.device_code_level_matching(rows, cat, "matched_device", text, order), "codes")
+        rows = settled(codes.device_code_level_matching(rows, cat, "matched_device", text, order), f"codes_{text}")
     for text in ("primary_description_tokens", "secondary_description_tokens"):
         rows = matchers.exact_match_with_supplier_filter(cat, rows, text, "NPC", "device_name_tokens", "matched_device", "Supplier", "Supplier", order)
-    rows = written(rows, "exact")
-    rows = written(tfidf.bag_of_words_matching(cat, rows, "catalogue_device_name_and_manufacturer_tokens", "device_name_and_manufacturer_tokens", config.first_similarity, order=order), "first")
+    rows = settled(rows, "exact_supplier")
+    rows = settled(tfidf.bag_of_words_matching(cat, rows, "catalogue_device_name_and_manufacturer_tokens", "device_name_and_manufacturer_tokens", config.first_similarity, order=order), "bag_of_words")
     return tfidf.bag_of_words_matching(cat, rows, "catalogue_device_tokens", "device_name_tokens", config.second_similarity, order=order)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -245,6 +247,111 @@ _CODE_SQL = (
 """
 )
 
+
+
+def _cascade_steps(name: str, refs: str) -> str:
+    """Hits of each matcher for one reference ``refs`` (idx, o, text): tables exact, jw, ov and ph with the name's suffix."""
+    return f"""
+  exact_{name} as (select text as tokens, arg_min(idx, o) as label from {refs} where text <> '' group by text),
+  jw_{name} as (select tokens, arg_min(label, (-s, o)) as label from (select tokens, r.idx as label, o, jaro_winkler_similarity(tokens, text) as s from tk cross join (select text, arg_min(idx, o) as idx, min(o) as o from {refs} where text <> '' group by text) r) where s >= 0.9 group by tokens),
+  ovs_{name} as (select tokens, idx, len(list_intersect(kl, rl))::double / greatest(len(rl), 1) as s from tk cross join (select idx, list_filter(string_split(text, ' '), lambda x: x <> '') as rl from {refs})),
+  ov_{name} as (select tokens, any_value(idx) as label from ovs_{name} join (select tokens, max(s) as s from ovs_{name} where s > 0 group by tokens) using (tokens, s) where s > 0.5 group by tokens having count(*) = 1),
+  ph_{name} as (select device_name, arg_min(idx, (-length(text), o)) as label from (select distinct device_name from devices where device_name is not null) join {refs} on text <> '' and contains(lower(device_name), text) and regexp_matches(lower(device_name), '\\b' || text || '\\b') group by device_name)"""
+
+
+def _first_sql(steps: list[tuple[str, str]], label: str = "label", level: str = "level") -> str:
+    """Columns with the first hit of the steps (column, level name)."""
+    whens = " ".join(f"when {c} is not null then '{n}'" for c, n in steps)
+    return f"coalesce({', '.join(c for c, _ in steps)}) as {label}, case {whens} end as {level}"
+
+
+_PHRASE = "catalogue_manufacturer_in_device_name_match"
+_EARLY = [
+    ("b", "null_level"), ("exact_miss.label", "exact_match_Supplier_missing_tokens"), ("jw_miss.label", "jaro_winkler_match_Supplier_missing_tokens"), ("ov_miss.label", "token_overlap_match_Supplier_missing_tokens_list"),
+    ("ph_miss.label", f"{_PHRASE}_Supplier_missing_tokens"), ("exact_sup.label", "exact_match_Supplier_tokens"), ("sub.label", "substring_match_Supplier_tokens"), ("jw_sup.label", "jaro_winkler_match_Supplier_tokens"), ("ov_sup.label", "token_overlap_match_Supplier_tokens_list"),
+]
+_LATE = [
+    ("early.label", ""), ("bow.label", "bag_of_words_match_Supplier_tokens"), ("ph_sup.label", f"{_PHRASE}_Supplier_tokens"), ("exact_brd.label", "exact_match_Brand_tokens"),
+    ("jw_brd.label", "jaro_winkler_match_Brand_tokens"), ("ov_brd.label", "token_overlap_match_Brand_tokens_list"), ("ph_brd.label", f"{_PHRASE}_Brand_tokens"),
+]
+_MANUFACTURERS = (
+    _WITH
+    + f""", mref as (select supplier, brand, min(ref_ord) as idx from catalogue group by all),
+  miss as (select {_clean_sql("s")} as text, -1 as idx, s as o from (values ('Acme Devices'), ('Nowhere Medical Ltd')) as t(s)),
+  sup as (select {_clean_sql("supplier")} as text, idx, idx as o from mref), brd as (select {_clean_sql("brand")} as text, idx, idx as o from mref),
+  tk as (select tokens, list_filter(string_split(tokens, ' '), lambda x: x <> '') as kl from (select distinct tokens from probe where tokens <> '')),
+  {_cascade_steps("miss", "miss")}, {_cascade_steps("sup", "sup")}, {_cascade_steps("brd", "brd")},
+  sub as (select tokens, arg_min(label, o) as label from tk join (select text, arg_max(idx, o) as label, min(o) as o from sup group by text) on contains(tokens, text) group by tokens),
+  early as (select row_id, manufacturer, tokens, device_name, {_first_sql(_EARLY)} from (select *, case when tokens = '' then -99 end as b from probe)
+    left join exact_miss using (tokens) left join jw_miss using (tokens) left join ov_miss using (tokens) left join ph_miss using (device_name)
+    left join exact_sup using (tokens) left join sub using (tokens) left join jw_sup using (tokens) left join ov_sup using (tokens)),
+  asked_rows as (select tokens as text from early where label is null), ref_rows as (select text from sup), {_VECTORS},
+  bow as (select key as tokens, arg_min(idx, (-score, o)) as label from sims join (select text, arg_min(idx, o) as idx, min(o) as o from sup group by text) on text = ref_text where score > 0.7 group by key),
+  linked as (select row_id, manufacturer, early.tokens, early.device_name, {_first_sql(_LATE, level="late")}, early.level as early_level from early left join bow on early.label is null and bow.tokens = early.tokens
+    left join ph_sup on ph_sup.device_name = early.device_name left join exact_brd on exact_brd.tokens = early.tokens left join jw_brd on jw_brd.tokens = early.tokens left join ov_brd on ov_brd.tokens = early.tokens left join ph_brd on ph_brd.device_name = early.device_name),
+  manufacturers as (select row_id, manufacturer, early_tokens as tokens, device_name, cast(label as bigint) as label, coalesce(early_level, nullif(late, '')) as level from (select *, tokens as early_tokens from linked))"""
+)
+
+
+def _device_clean(c: str) -> str:
+    return f"array_to_string(list_filter(regexp_split_to_array(trim(regexp_replace(regexp_replace(lower(coalesce({c}, '')), '[^a-z0-9]', ' ', 'g'), 'non\\s+', 'non', 'g')), '\\s+'), lambda x: x <> '' and x not in ('and', 'hcted')), ' ')"
+
+
+def _codes_sql(name: str, rows: str, text: str) -> str:
+    """codes_{name}: key, label, kind and failed for the distinct texts of rows."""
+    inner = _CODE_SQL[len(_WITH) :].lstrip(", \n")
+    for t in ("keys", "f", "g", "nk", "mk", "ek", "h", "r"):
+        inner = re.sub(rf"\b{t} as \(", f"{name}_{t} as (", inner)
+        inner = re.sub(rf"\b(from|join) {t}\b", rf"\1 {name}_{t}", inner)
+    return inner.replace("select distinct device_name as key, coalesce(device_name, 'nan') as t from devices", f"select distinct {text} as key, coalesce({text}, 'nan') as t from {rows} where md is null")
+
+
+def _bag_sql(n: int, rows: str, text: str, ref_text: str, least: float) -> str:
+    """bag{n}: the rows after a step of term vectors."""
+    vectors = _VECTORS
+    for t in ("corpus", "total", "texts", "term_lists", "tf", "dfs", "raw", "vec", "sims", "asked_rows", "ref_rows"):
+        vectors = re.sub(rf"\b{t} as \(", f"v{n}_{t} as (", vectors)
+        vectors = re.sub(rf"\b(from|join) {t}\b", rf"\1 v{n}_{t}", vectors).replace("(term), total", f"(term), v{n}_total")
+    return f"""v{n}_asked_rows as (select {text} as text, sup from {rows} where md is null), v{n}_ref_rows as (select {ref_text} as text, supplier, npc from cat), {vectors},
+  v{n}_keys as (select distinct text as key, sup, sup in (select supplier from cat) as known from v{n}_asked_rows),
+  v{n}_cand as (select k.key, k.sup, s.score, r.npc from v{n}_keys k join v{n}_sims s using (key) join v{n}_ref_rows r on r.text = s.ref_text and (not coalesce(k.known, false) or r.supplier = k.sup)),
+  v{n}_got as (select key, sup, best, count(*) as c, min(npc) as npc from (select *, max(score) over (partition by key, sup) as best from v{n}_cand) where score = best group by key, sup, best),
+  bag{n} as (select r.* exclude (md, level, best, n_best), coalesce(md, case when g.best > {least} and c = 1 then npc end) as md, case when md is null and g.best > {least} and c = 1 then 'bag_of_words_match_{least}' else level end as level,
+    case when md is null then coalesce(g.best, 0) else r.best end as best, case when md is null then case when g.best > {least} then c else 0 end else n_best end as n_best
+    from {rows} r left join v{n}_got g on r.{text} = g.key and r.sup is not distinct from g.sup)"""
+
+
+def _code_step(name: str, rows: str, text: str, column: str) -> str:
+    return f"""{_codes_sql(name, rows, text)},
+  {name}_rows as (select d.* exclude (md, level, failed), coalesce(md, c.label) as md, case when md is not null then level else c.kind || '_code_match_{column}' end as level, case when md is not null then d.failed else c.failed end as failed
+    from {rows} d left join {name}_r c on d.{text} is not distinct from c.key)"""
+
+
+def _supplier_step(name: str, rows: str, text: str) -> str:
+    return f"""{name} as (select d.* exclude (md, level), coalesce(md, x.npc) as md, case when md is not null then level when x.npc is not null then 'exact_match_supplier_and_{text}_description_tokens' end as level
+    from {rows} d left join (select {text} as t, arg_min(npc, ref_ord) as npc, arg_min(supplier, ref_ord) as s from cat group by {text}) x on d.name_tokens = x.t and d.sup = x.s)"""
+
+
+_DEVICES_LINKED = (
+    _MANUFACTURERS
+    + f""",
+  cat as (select *, {_device_clean("concat_ws(' ', coalesce(supplier, 'nan'), coalesce(base_description, 'nan'), coalesce(secondary_description, 'nan'))")} as full_tokens,
+    {_device_clean("concat_ws(' ', coalesce(base_description, 'nan'), coalesce(secondary_description, 'nan'))")} as only_tokens, {_device_clean("base_description")} as "primary", {_device_clean("secondary_description")} as secondary from catalogue),
+  d0 as (select m.row_id, m.label, m.device_name as name, case when m.row_id % 4 = 0 then 'sn ' || m.device_name end as serial, r.supplier as sup,
+    {_device_clean("concat_ws(' ', coalesce(r.supplier, 'nan'), coalesce(m.device_name, 'nan'))")} as both_tokens, {_device_clean("m.device_name")} as name_tokens,
+    case when m.label = -1 then 'manufacturer not in catalogue' when coalesce(m.device_name, '') = '' then 'null device' end as md0, case when m.label = -1 then 'not_in_catalogue' end as level0
+    from manufacturers m left join mref r on m.label = r.idx),
+  d1 as (select d0.* exclude (md0, level0), coalesce(md0, x.npc) as md, case when md0 is not null then level0 when x.npc is not null then 'exact_match_catalogue_device_name_and_manufacturer_tokens' end as level, cast(null as varchar) as failed, cast(null as double) as best, cast(null as bigint) as n_best
+    from d0 left join (select full_tokens, arg_min(npc, ref_ord) as npc from cat group by full_tokens) x on both_tokens = x.full_tokens),
+  {_code_step("c1", "d1", "serial", "CLN_Device_Serial_Number")},
+  {_code_step("c2", "c1_rows", "name", "CLN_Manufacturer_Device_Name")},
+  {_supplier_step("s1", "c2_rows", '"primary"').replace('and_"primary"_', "and_primary_")},
+  {_supplier_step("s2", "s1", "secondary")},
+  {_bag_sql(1, "s2", "both_tokens", "full_tokens", 0.5)},
+  {_bag_sql(2, "bag1", "name_tokens", "only_tokens", 0.3)}
+select row_id as "index", label as "Manufacturer_label", md as matched_device, level as device_level, failed as codes_failed_to_match, round(best, 9) as best_similarity, cast(n_best as bigint) as n_best_matches from bag2"""
+)
+
 ORACLE_SQL = {
     "clean_tokens": _WITH + "select row_id, tokens, cast(len(list_filter(string_split(tokens, ' '), lambda x: x <> '')) as bigint) as n_tokens from probe",
     "exact_first": _WITH + "select row_id, first as label, case when first is not null then 'exact_match_text' end as level from probe left join firsts on text = tokens",
@@ -290,6 +397,15 @@ select row_id, label, supplier, brand from e left join mref using (label)""",
     "review_merge": _WITH
     + "select row_id, case when row_id % 10 = 0 then 'yes' else '' end as manufacturer_match, case when row_id % 15 = 0 then 'no' end as device_match from devices where row_id % 10 = 0 or row_id % 15 = 0",
     "label_merge_back": _WITH + "select row_id, case when row_id % 3 = 0 then concat('g', cast(row_id as varchar)) end as golden_label from devices",
+    "stratified_sample": """
+with c as (select c_mktsegment as segment, count(*) as n from customer group by 1), t as (select *, n * 100.0 / sum(n) over () as x from c),
+  f as (select segment, n, greatest(cast(floor(x) as bigint), 1) as base, x - floor(x) as frac from t),
+  o as (select *, row_number() over (order by frac desc, segment) as k, 100 - sum(base) over () as left_over from f),
+  a as (select segment, base + case when k <= left_over then 1 else 0 end as drawn from o),
+  r as (select c_custkey, c_mktsegment, row_number() over (partition by c_mktsegment order by md5('42:' || c_custkey), c_custkey) as k from customer)
+select c_custkey, c_mktsegment from r join a on segment = c_mktsegment where k <= drawn""",
+    "manufacturer_cascade": _MANUFACTURERS + ' select row_id as "index", manufacturer as "CLN_Manufacturer", tokens as "CLN_Manufacturer_tokens", label, level from manufacturers',
+    "device_cascade": _DEVICES_LINKED,
     "stratified_allocation": """
 with c as (select c_mktsegment as segment, count(*) as n from customer group by 1), t as (select *, n * 100.0 / sum(n) over () as x from c),
   f as (select segment, n, greatest(cast(floor(x) as bigint), 1) as base, x - floor(x) as frac from t),

@@ -191,7 +191,9 @@ def test_reviews_and_labels(spark):
 def test_cascades(spark):
     cat = spark.createDataFrame([(0, "Acme Surgical", "Zed", "ABC12345", "MP00001", "5000000000001", "scalpel fine", "blade"), (1, "Bravo", "Bolt", "ABC99999", "MP00002", "5000000000002", "knee brace", "large")], "ref_ord long, Supplier string, Brand string, NPC string, MPC string, `EAN/GTIN` string, `Base Description` string, `Secondary Description` string")
     devices = spark.createDataFrame([(1, "ACME surgical Ltd", "x", "ABC-12345"), (2, None, "y", None), (3, "Gone Co", "z", None), (4, "bolt", None, None), (5, "whatever", "the bravo thing", None), (6, "bravo", "knee brace", None)], "index long, CLN_Manufacturer string, CLN_Manufacturer_Device_Name string, CLN_Device_Serial_Number string")
-    out = cascade.manufacturer_cascade(devices, cat, spark.createDataFrame([("Gone Co",)], "Supplier_missing string"))
+    said = []
+    out = cascade.manufacturer_cascade(devices, cat, spark.createDataFrame([("Gone Co",)], "Supplier_missing string"), log=lambda *x: said.append(x))
+    assert said[0] == ("exact_match_Supplier_missing_tokens", 6, 4) and said[-1][1:] == (6, 0)
     assert labels(out, "index", "Manufacturer_label") == {1: 0, 2: -99, 3: -1, 4: 1, 5: 1, 6: 1}
     assert labels(out, "index", "level")[4] == "exact_match_Brand_tokens"
     done = cascade.device_cascade(out, cat)
