@@ -36,10 +36,17 @@ MAIN = {"article", "main"}
 ENDS_P = {"address", "article", "aside", "blockquote", "center", "details", "dialog", "dir", "div", "dl", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "main", "menu", "nav", "ol", "p", "pre", "section", "table", "ul"}
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = {"ul", "ol", "dl", "table", "select", "menu"}
-FURNITURE = re.compile(
-    r"(?:^|[-_\s])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|sidebar|side|rail|menu\w*|nav\w*|breadcrumbs?|header|masthead|topbar|footer|comments?|commentlist|disqus|replies|reply|respond|share|sharing|social|related|recommended|newsletter|subscribe|signup|login|search|widgets?|toolbar|pagination|pager|toc|skip|copyright|legal)(?:$|[-_\s\d])",
-    re.I,
-)
+#: Words of class names and ids that mark furniture anywhere, and those that may also name parts of an article's own text.
+ANYWHERE = "ads? advert\\w* banner sponsor\\w* promo\\w* cookies? consent gdpr notices? popup modal overlay sidebar nav\\w* menu\\w* breadcrumbs? footer comments? commentlist disqus replies respond related recommended newsletter subscribe signup login widgets? toolbar pagination pager"
+OUTSIDE = "header masthead topbar alert side rail reply share sharing social search toc skip copyright legal"
+
+
+def _named(words: str) -> re.Pattern:
+    return re.compile(rf"(?:^|[-_\s])(?:{words.replace(' ', '|')})(?:$|[-_\s\d])", re.I)
+
+
+FURNITURE = (_named(ANYWHERE), _named(OUTSIDE))
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form", "menu", "menubar", "alertdialog"}
 
 
@@ -47,7 +54,7 @@ ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dial
 class Node:
     tag: str
     key: int
-    marked: bool
+    marked: int  # as furniture: 2 anywhere, 1 outside an article or main element, else 0
     children: list = field(default_factory=list)  # nodes and text, in page order
 
 
@@ -62,9 +69,9 @@ def _mark(*parts: object) -> int:
 
 def parse(page: str) -> Node:
     """A page's tree. Broken markup is mended as browsers do: open elements end where their kind must."""
-    root = Node("", _hash("root"), False)
+    root = Node("", _hash("root"), 0)
     stack = [root]
-    known: dict[tuple, tuple[int, bool]] = {}
+    known: dict[tuple, tuple[int, int]] = {}
     at, n = 0, len(page)
     while at < n:
         m = TOKEN.search(page, at)
@@ -110,7 +117,8 @@ def parse(page: str) -> Node:
         if sign not in known:
             got = {a[0].lower(): a[1] or a[2] or a[3] for a in ATTRIBUTE.findall(given)} if "=" in given else {}
             names = f"{got.get('class', '')} {got.get('id', '')}"
-            marked = bool(FURNITURE.search(names)) or got.get("role", "").lower() in ROLES or "hidden" in got or got.get("aria-hidden") == "true" or "display:none" in got.get("style", "").replace(" ", "").lower()
+            hidden = got.get("role", "").lower() in ROLES or "hidden" in got or got.get("aria-hidden") == "true" or "display:none" in got.get("style", "").replace(" ", "").lower()
+            marked = 2 if hidden or (FURNITURE[0].search(names) and tag not in HEADINGS) else int(any(f.search(names) for f in FURNITURE))
             known[sign] = (_hash(stack[-1].key, tag, got.get("class", ""), re.sub(r"\d+", "#", got.get("id", "")), got.get("role", "")), marked)
         node = Node(tag, *known[sign])
         if tag == "a" and (href := ATTRIBUTE.search(given)):
@@ -189,7 +197,7 @@ def main_text(root: Node, importance: dict[int, float], least: float) -> str:
         run.clear()
 
     def gone(node: Node, inside: bool, flow: bool) -> bool:
-        if node.tag in DROPPED or node.marked or (node.tag == "header" and not inside):
+        if node.tag in DROPPED or node.marked == 2 or ((node.marked or node.tag == "header") and not inside):
             return True
         return importance[id(node)] < least and not (inside and flow and node.tag in INLINE)
 
