@@ -157,10 +157,11 @@ def rules(docs: DataFrame, piece_path: str, byte_path: str, bands: Bands = Bands
     base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     measured = common.staged(measure(docs, piece_path, byte_path, *keep), "fertility").withColumn("base_failed", base_failed)
 
-    def centre() -> list:
-        return [F.percentile_approx(m, [0.25, 0.5, 0.75], 1000).alias(f"_{m}") for m in MEASURES]
-
-    groups = measured.where("not base_failed").groupBy("_group").agg(F.count("*").alias("_n"), *centre())
+    # quartiles of the measures in thousandths, from the counts of their values: exact, however rows are dealt
+    sound = measured.where("not base_failed")
+    values = sound.select("_group", F.posexplode(F.array(*(F.round(m, 3) for m in MEASURES))).alias("k", "v")).groupBy("_group", "k", "v").agg(F.count("*").alias("c"))
+    quartiles = values.groupBy("_group", "k").agg(F.sum("c").alias("_n"), F.expr("percentile(v, array(0.25, 0.5, 0.75), c)").alias("q"))
+    groups = quartiles.groupBy("_group").agg(F.max("_n").alias("_n"), *(F.max(F.when(F.col("k") == i, F.col("q"))).alias(f"_{m}") for i, m in enumerate(MEASURES)))
     spread = spread * F.sqrt(F.lit(1) + F.lit(bands.few) / F.col("_n"))
     salted = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(bands.salts - 1))))  # a language may hold most rows
     rows = measured.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(bands.salts)).cast("int")).join(salted, ["_group", "_salt"], "left")
