@@ -58,13 +58,8 @@ class Node:
     children: list = field(default_factory=list)  # nodes and text, in page order
 
 
-def _hash(*parts: object, size: int = 8) -> int:
-    return int.from_bytes(hashlib.blake2b("\x1f".join(map(str, parts)).encode("utf-8", "replace"), digest_size=size).digest(), "little", signed=True)
-
-
-def _mark(*parts: object) -> int:
-    """A mark of a style or feature among those of one element, where four bytes tell them apart well enough."""
-    return _hash(*parts, size=4)
+def _hash(*parts: object) -> int:
+    return int.from_bytes(hashlib.blake2b("\x1f".join(map(str, parts)).encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
 def parse(page: str) -> Node:
@@ -149,10 +144,10 @@ def summary(root: Node) -> list[tuple[int, int, list[int]]]:
                     style.append(c.key)
                 todo.append(c)
             elif isinstance(c, tuple):
-                content.add(_mark(*c))
+                content.add(_hash(*c))
             elif c.strip():
-                content.add(_mark(" ".join(c.split())))
-    return [(k, _mark(*styles[k]), sorted(contents[k])) for k in styles]
+                content.add(_hash(" ".join(c.split())))
+    return [(k, _hash(*styles[k]), sorted(contents[k])) for k in styles]
 
 
 def composite(root: Node, known: dict[int, tuple[float, float, int]], decay: float, doubt: float = 5.0) -> dict[int, float]:
@@ -241,13 +236,13 @@ def extract(pages: DataFrame, least: float = 0.25, decay: float = 0.9, salts: in
     def summaries(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        kind = pa.list_(pa.struct([("element", pa.int64()), ("style", pa.int32()), ("features", pa.list_(pa.int32()))]))
+        kind = pa.list_(pa.struct([("element", pa.int64()), ("style", pa.int64()), ("features", pa.list_(pa.int64()))]))
         for batch in batches:
             for part, some in common.text_slices(batch, column="html"):
                 nodes = [[{"element": k, "style": s, "features": f} for k, s, f in summary(parse(h))] for h in some]
                 yield pa.RecordBatch.from_arrays([part.column("host"), part.column("page"), pa.array(nodes, kind)], ["host", "page", "nodes"])
 
-    seen = common.mapped(rows.select("host", "page", "html"), summaries, "host string, page long, nodes array<struct<element:long,style:int,features:array<int>>>", "style_tree")
+    seen = common.mapped(rows.select("host", "page", "html"), summaries, "host string, page long, nodes array<struct<element:long,style:long,features:array<long>>>", "style_tree")
     seen = common.staged(seen.dropDuplicates(["host", "page"]), "pages")
     nodes = seen.select("host", "page", F.explode("nodes").alias("n")).select("host", "page", "n.*")
     # presentation: entropy of the styles of an element over the pages that have it, in units of its greatest possible value
