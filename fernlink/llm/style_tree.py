@@ -259,16 +259,30 @@ def extract(pages: DataFrame, least: float = 0.25, decay: float = 0.9, salts: in
     stats = stats.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     of_page = nodes.select("host", "page", "element").withColumn("salt", F.pmod("page", F.lit(salts)).cast("int")).join(stats, ["host", "element", "salt"])
     known = of_page.groupBy("page").agg(F.collect_list(F.struct("element", "shape", "content", "pages")).alias("known"))  # as many as a page has elements
-    joined = rows.join(known, "page", "left").select("page_id", "url", "html", "known")
+
+    def packed(batches: Iterator) -> Iterator:
+        """The html in zstd, which is smaller in the shuffle than Spark's own compression makes it."""
+        import pyarrow as pa
+
+        for batch in batches:
+            html = [x.as_buffer() for x in batch.column("html").cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("page_id", "url", "page")), pa.array([x.size for x in html], pa.int64()), pa.array([pa.compress(x, "zstd", asbytes=True) for x in html], pa.binary())],
+                ["page_id", "url", "page", "size", "packed"],
+            )
+
+    small = common.mapped(rows.select("page_id", "url", "page", "html"), packed, "page_id long, url string, page long, size long, packed binary", "style_tree")
+    joined = small.join(known, "page", "left").select("page_id", "url", "size", "packed", "known")
 
     def texts(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            for part, some in common.text_slices(batch, column="html"):
+            for s in common.slices(batch.column("size").to_numpy() + 16, 2_000_000):
+                part = batch.slice(s.start, s.stop - s.start)
                 out = []
-                for h, known in zip(some, part.column("known").to_pylist(), strict=True):
-                    root = parse(h)
+                for n, h, known in zip(part.column("size").to_pylist(), part.column("packed"), part.column("known").to_pylist(), strict=True):
+                    root = parse(pa.decompress(h.as_buffer(), n, "zstd").to_pybytes().decode("utf-8", "replace"))
                     out.append(main_text(root, composite(root, {x["element"]: (x["shape"], x["content"], x["pages"]) for x in known or ()}, decay), least))
                 yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(out, pa.string()), pa.array(np.fromiter(map(len, out), np.int64, len(out)))], ["page_id", "url", "text", "n_chars"])
 
