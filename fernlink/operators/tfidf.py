@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from fernlink.functions.text import ENGLISH_STOP
 from fernlink.operators.matchers import apply_hits, require
+from fernlink.sources.tables import written
 
 
 def terms(c: Column) -> Column:
@@ -53,36 +54,85 @@ def bag_of_words_supplier_matching(rows: DataFrame, ref: DataFrame, label: str,
     return out.withColumn(score, F.when(F.col("__free"), F.coalesce(score, F.lit(0.0))).otherwise(F.col(score))).drop("__free")
 
 
+def _ties(asked: DataFrame, posts: DataFrame) -> DataFrame:
+    """key, wide, scope, score and ref_texts: of each posting chunk that a probe asks for, the best score and the references that have it."""
+    on = ["wide", "scope", "term", "chunk"]
+    needed = asked.select(*on).distinct().withColumnsRenamed({c: f"__{c}" for c in on})
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in on]
+    lists = posts.join(needed, same, "left_semi").groupBy(*on).agg(F.collect_list(F.struct("ref_text", "bag")).alias("refs")).withColumnsRenamed({c: f"__{c}" for c in on})
+
+    def score(r: Column) -> Column:
+        return F.round(F.aggregate("terms", F.lit(0.0), lambda s, x: s + x["wa"] * F.coalesce(F.try_element_at(r["bag"], x["term"]), F.lit(0.0))), 12)
+
+    scored = asked.join(lists, same).select("key", "wide", "scope", F.transform("refs", lambda r: F.struct(score(r).alias("score"), r["ref_text"].alias("ref_text"))).alias("refs"))
+    best = scored.select("key", "wide", "scope", "refs", F.array_max(F.transform("refs", lambda r: r["score"])).alias("score"))
+    return best.select("key", "wide", "scope", "score", F.transform(F.filter("refs", lambda r: r["score"] == F.col("score")), lambda r: r["ref_text"]).alias("ref_texts"))
+
+
+def nearest(probes: DataFrame, members: DataFrame, vec: DataFrame, chunk: int = 256, first: int = 64) -> DataFrame:
+    """key, wide, scope, ref_text and best: for each probe (key, wide, scope) the members of its scope (wide, scope, ref_text) of highest score, all of equals.
+
+    Exact, and without all pairs of a common term. A probe's terms are taken from the
+    rarest of its scope on. Members without any of the terms so far score at most the
+    sum over the other terms of the probe's weight times the highest weight there, and
+    at most the length of the probe's vector in these terms. The rarest terms (``first``
+    postings, or one term) give a score that is surely reached; further terms are looked
+    up only while what they could reach is not below it. Postings are met in chunks of
+    about ``chunk`` members, so a common term is spread. ``vec``: text, term and weight.
+    """
+    words = vec.select(F.col("text").alias("ref_text"), "term", F.col("weight").alias("wb"))
+    bags = words.groupBy("ref_text").agg(F.map_from_entries(F.collect_list(F.struct("term", "wb"))).alias("bag"))
+    listed = members.join(words, "ref_text")
+    stats = listed.groupBy("wide", "scope", "term").agg(F.count("*").alias("n"), F.max("wb").alias("most"))
+    chunks = F.ceil(F.col("n") / chunk).cast("int")
+    stat = written(stats, "term-stats").withColumnsRenamed({c: f"__{c}" for c in ("wide", "scope", "term")})
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in ("wide", "scope", "term")]
+    met = probes.join(vec.select(F.col("text").alias("key"), "term", F.col("weight").alias("wa")), "key").join(stat, same).select("key", "wide", "scope", "term", "wa", "n", "most")
+    # what the terms from each on can reach: terms of a probe in order, the rarest first
+    order = Window.partitionBy("key", "wide", "scope").orderBy("n", "term")
+    later = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    reach = F.least(F.sum(F.col("wa") * F.col("most")).over(later), F.sqrt(F.sum(F.col("wa") * F.col("wa")).over(later)))
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    met = met.withColumns({"reach": reach, "early": (F.row_number().over(order) == 1) | (F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) <= first), "terms": F.collect_list(F.struct("term", "wa")).over(whole)})
+    met = written(met, "probe-terms")
+    posts = listed.join(stat, same).select("wide", "scope", "term", "ref_text", F.pmod(F.xxhash64("ref_text"), chunks).cast("int").alias("chunk")).join(bags, "ref_text")
+    dealt = lambda rows: rows.withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
+    early = written(_ties(dealt(met.where("early")), posts), "probe-ties")
+    reached = early.groupBy(F.col("key").alias("__key"), F.col("wide").alias("__wide"), F.col("scope").alias("__scope")).agg(F.max("score").alias("reached"))
+    probe = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in ("key", "wide", "scope")]
+    open_terms = met.where("not early").join(reached, probe).where(F.col("reach") > F.col("reached") - 1e-9).select(*met.columns)  # far above the errors of sums
+    every = early.unionByName(_ties(dealt(open_terms), posts))
+    top = every.withColumn("best", F.max("score").over(Window.partitionBy("key", "wide", "scope"))).where("score = best")
+    return written(top.select("key", "wide", "scope", F.explode("ref_texts").alias("ref_text"), "best").distinct(), "nearest")  # a member may be met by several terms
+
+
 def device_hits(probe: DataFrame, catalogue: DataFrame, text: str, threshold: float, supplier: str = "Supplier", npc: str = "NPC", order: str = "ref_ord") -> DataFrame:
     """For probe rows (text, supplier, n): best_similarity, best_match_devices, n_best_matches, and label if the best is unique.
 
-    Candidates are the catalogue rows of the same supplier, which is part of the join
-    key; all rows where the supplier is null or not in the catalogue. Without a common
-    term the similarity is 0. The devices are the codes of all catalogue rows that
-    share the best similarity, in the catalogue's order. An empty catalogue has no hits.
+    Candidates are the catalogue rows of the same supplier; all rows where the supplier
+    is null or not in the catalogue. Without a common term the similarity is 0. The
+    devices are the codes of all catalogue rows that share the best similarity, in the
+    catalogue's order. An empty catalogue has no hits.
     """
     refs = catalogue.select(F.coalesce(text, F.lit("")).alias("ref_text"), F.col(supplier).alias("supplier"), F.col(npc).alias("npc"), F.col(order).alias("ord"))
     texts = probe.select(F.coalesce("text", F.lit("")).alias("text"), "n")
     corpus = texts.unionByName(refs.groupBy(F.col("ref_text").alias("text")).agg(F.count("*").alias("n")))
     known = refs.where("supplier is not null").select("supplier").distinct().withColumn("known", F.lit(True))
     asked = probe.select(F.coalesce("text", F.lit("")).alias("key"), "supplier").distinct().join(known, "supplier", "left")
-    left = vectors(texts, corpus).select(F.col("text").alias("key"), "term", F.col("weight").alias("wa"))
-    right = vectors(refs.withColumnRenamed("ref_text", "text"), corpus).select(F.col("text").alias("ref_text"), "term", F.col("weight").alias("wb"))
-    score = F.round(F.sum(F.col("wa") * F.col("wb")), 12).alias("score")
-    of_supplier = refs.where("supplier is not null").groupBy("supplier", "ref_text").agg(F.count("*").alias("c"))
-    narrow = asked.where("known").join(left, "key").join(right.join(of_supplier, "ref_text"), ["supplier", "term"]).groupBy("key", "supplier", "ref_text", "c").agg(score)
-    of_text = refs.groupBy("ref_text").agg(F.count("*").alias("c"))
-    free = asked.where("known is null")
-    wide = free.select("key").distinct().join(left, "key").join(right, "term").groupBy("key", "ref_text").agg(score).join(of_text, "ref_text").join(free, "key")
-    columns = ("key", "supplier", "ref_text", "score", "c", "known")
-    both = narrow.withColumn("known", F.lit(True)).select(*columns).unionByName(wide.select(*columns))
-    top = both.withColumn("best", F.max("score").over(Window.partitionBy("key", "supplier"))).where("score = best")
-    over = top.where(F.col("best") > threshold).select("key", "supplier", "ref_text", "known")  # only these name their devices
-    members = over.where("known").join(refs, ["supplier", "ref_text"]).select("key", "supplier", "ord", "npc")
-    members = members.unionByName(over.where("known is null").join(refs.drop("supplier"), "ref_text").select("key", "supplier", "ord", "npc"))
-    same = lambda x: [F.col("key") == F.col(f"__k{x}"), F.col("supplier").eqNullSafe(F.col(f"__s{x}"))]
-    npcs = members.groupBy(F.col("key").alias("__k1"), F.col("supplier").alias("__s1")).agg(F.array_sort(F.collect_list(F.struct("ord", "npc"))).getField("npc").alias("npcs"))
-    best = top.groupBy(F.col("key").alias("__k2"), F.col("supplier").alias("__s2")).agg(F.max("best").alias("best"), F.sum("c").alias("count"))
+    asked = asked.select("key", "supplier", F.col("known").isNull().alias("wide"), F.when(F.col("known"), F.col("supplier")).alias("scope"))
+    own = refs.where("supplier is not null").select(F.lit(False).alias("wide"), F.col("supplier").alias("scope"), "ref_text")
+    members = own.unionByName(refs.select(F.lit(True).alias("wide"), F.lit(None).cast(refs.schema["supplier"].dataType).alias("scope"), "ref_text")).distinct()
+    members = written(members, "members")
+    vec = written(vectors(corpus, corpus), "term-vectors")
+    top = nearest(asked.select("key", "wide", "scope").distinct(), members, vec)
+    by = ["key", "wide", "scope"]
+    over = top.where(F.col("best") > threshold).drop("best")  # only these name their devices
+    devices = over.where("not wide").join(refs.withColumnRenamed("supplier", "scope"), ["scope", "ref_text"]).select(*by, "ord", "npc")
+    devices = devices.unionByName(over.where("wide").join(refs.drop("supplier"), "ref_text").select(*by, "ord", "npc"))
+    same = lambda x: [F.col(c).eqNullSafe(F.col(f"__{c}{x}")) for c in by]
+    named = lambda x: [F.col(c).alias(f"__{c}{x}") for c in by]
+    npcs = devices.groupBy(*named(1)).agg(F.array_sort(F.collect_list(F.struct("ord", "npc"))).getField("npc").alias("npcs"), F.count("*").alias("count"))
+    best = top.groupBy(*named(2)).agg(F.max("best").alias("best"))
     some = asked.join(refs.limit(1).select(F.lit(True).alias("__any")), F.lit(True))  # one row at most: nothing is asked of an empty catalogue
     listed = some.join(best, same(2), "left").join(npcs, same(1), "left")
     ok = F.coalesce(F.col("best") > threshold, F.lit(False))
